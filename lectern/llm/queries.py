@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lectern.llm import bpe, unigram
+from lectern.llm import bpe, tiff, unigram
 from lectern.llm.common import read
 
 
@@ -16,6 +16,10 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op8_media(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tiff.text_media(read(spark, sf_dir, "documents"))
+
+
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(read(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
 
@@ -25,6 +29,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op8_media": op8_media,
     "op9_bpe": op9_bpe,
     "op10_token_counts": op10_token_counts,
 }
