@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lectern.llm import bpe, tiff, unigram
+from lectern.llm import bpe, simhash, tiff, unigram
 from lectern.llm.common import read
 
 
@@ -16,6 +16,10 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.groups(read(spark, sf_dir, "documents"))
+
+
 def op8_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tiff.text_media(read(spark, sf_dir, "documents"))
 
@@ -29,6 +33,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_simhash": op3_simhash,
     "op8_media": op8_media,
     "op9_bpe": op9_bpe,
     "op10_token_counts": op10_token_counts,
