@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lectern.llm import bpe, licenses, simhash, tiff, unigram
+from lectern.llm import bpe, licenses, pii, simhash, tiff, unigram
 from lectern.llm.common import read
 
 
@@ -24,6 +24,10 @@ def op5_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(read(spark, sf_dir, "documents"))
 
 
+def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.detect(read(spark, sf_dir, "documents"))
+
+
 def op8_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tiff.text_media(read(spark, sf_dir, "documents"))
 
@@ -39,6 +43,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_simhash": op3_simhash,
     "op5_licenses": op5_licenses,
+    "op6_pii": op6_pii,
     "op8_media": op8_media,
     "op9_bpe": op9_bpe,
     "op10_token_counts": op10_token_counts,
