@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lectern.llm import bpe, licenses, pii, simhash, tiff, unigram
+from lectern.llm import bpe, langid, licenses, pii, simhash, tiff, unigram
 from lectern.llm.common import read
 
 
@@ -20,6 +20,10 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.groups(read(spark, sf_dir, "documents"))
 
 
+def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(read(spark, sf_dir, "documents"))
+
+
 def op5_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(read(spark, sf_dir, "documents"))
 
@@ -42,6 +46,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_simhash": op3_simhash,
+    "op4_language": op4_language,
     "op5_licenses": op5_licenses,
     "op6_pii": op6_pii,
     "op8_media": op8_media,
