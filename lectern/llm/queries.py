@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lectern.llm import bpe, langid, licenses, pii, simhash, tiff, unigram
+from lectern.llm import bpe, langid, licenses, pii, simhash, tiff, topk, unigram
 from lectern.llm.common import read
 
 
@@ -32,6 +32,10 @@ def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.detect(read(spark, sf_dir, "documents"))
 
 
+def op7_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.search(read(spark, sf_dir, "embeddings"))
+
+
 def op8_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tiff.text_media(read(spark, sf_dir, "documents"))
 
@@ -49,9 +53,26 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_language": op4_language,
     "op5_licenses": op5_licenses,
     "op6_pii": op6_pii,
+    "op7_topk": op7_topk,
     "op8_media": op8_media,
     "op9_bpe": op9_bpe,
     "op10_token_counts": op10_token_counts,
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op7_topk": """
+        WITH v AS (
+            SELECT vec_id, list_transform(embedding, x -> floor(256 * x::DOUBLE)) AS v
+            FROM embeddings
+            WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+              AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+        ), scored AS (
+            SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v)::BIGINT AS score
+            FROM v q JOIN v c ON q.vec_id <> c.vec_id
+            WHERE q.vec_id % 50 = 0
+        )
+        SELECT query_id, rank::INTEGER AS rank, vec_id, score
+        FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored)
+        WHERE rank <= 5
+    """,
+}
