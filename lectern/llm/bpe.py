@@ -192,15 +192,26 @@ def shared_codec(df: DataFrame, path: str):
     return lambda: codec(path, sent.value)
 
 
-def encode(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """id, n_tokens, token_ids (array<int>), one row per row of df; null and empty texts have no tokens."""
+def encode(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
+    """id, columns to keep, n_tokens, token_ids (array<int>), one row per row of df; null and empty texts have no tokens."""
     get = shared_codec(df, path)
 
     def make():
         c = get()
         return lambda texts: [(len(i) // 4, np.frombuffer(i, dtype="<u4").astype(np.int32)) for i in map(c.encode, texts)]
 
-    return per_text(df, id_col, text_col, "n_tokens bigint, token_ids array<int>", make)
+    return per_text(df, id_col, text_col, "n_tokens bigint, token_ids array<int>", make, keep)
+
+
+def decode(df: DataFrame, path: str, id_col: str = "doc_id", ids_col: str = "token_ids") -> DataFrame:
+    """id and the text of the token ids, one row per row of df; null ids give a null text."""
+    get = shared_codec(df, path)
+
+    def make():
+        c = get()
+        return lambda rows: [(None if ids is None else c.decode(np.array(ids, dtype="<u4").tobytes()).decode(),) for ids in rows]
+
+    return per_text(df, id_col, ids_col, "text string", make)
 
 
 def round_trip(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

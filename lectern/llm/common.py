@@ -9,6 +9,8 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 #: Rows that a Python pass holds as Python objects at once; a batch is walked in such slices.
 SLICE_ROWS = 128
@@ -38,27 +40,25 @@ def sliced(batches: Iterator[pa.RecordBatch], rows: int = SLICE_ROWS) -> Iterato
             yield batch.slice(at, rows)
 
 
-def per_text(df: DataFrame, id_col: str, text_col: str, out: str, make: Callable[[], Callable[[list], list]]) -> DataFrame:
-    """One row per input row: the id, then the fields of `out` (a DDL list) that the function from make() returns for each text.
+def per_text(df: DataFrame, id_col: str, text_col: str, out: str, make: Callable[[], Callable[[list], list]], keep: tuple[str, ...] = ()) -> DataFrame:
+    """One row per input row: the id, columns to keep, then the fields of `out` (a DDL list) that the function from make() returns for each text.
 
     make() runs once in each task; its function gets a list of texts (None for null) and returns a list of tuples.
-    Only the two columns are read, so other columns of df, whatever their names, have no effect.
+    Only the named columns are read, so other columns of df, whatever their names, have no effect.
     """
-    narrow = df.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
-    kind = narrow.schema["_id"].dataType.simpleString()
+    kept = [id_col, *keep]
+    narrow = df.select(*(F.col(c).alias(f"_k{n}") for n, c in enumerate(kept)), F.col(text_col).alias("_text"))
+    fields = list(to_arrow_schema(StructType.fromDDL(out)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = make()
         for part in sliced(batches):
-            rows = work(part.column(1).to_pylist())
+            rows = work(part.column(len(kept)).to_pylist())
             columns = list(zip(*rows, strict=True))
-            yield pa.RecordBatch.from_arrays([part.column(0), *(pa.array(c, type=t.type) for c, t in zip(columns, fields, strict=True))], names=["_id", *(t.name for t in fields)])
-
-    from pyspark.sql.pandas.types import to_arrow_schema
-    from pyspark.sql.types import StructType
+            yield pa.RecordBatch.from_arrays([*part.columns[: len(kept)], *(pa.array(c, type=t.type) for c, t in zip(columns, fields, strict=True))], names=[*(f"_k{n}" for n in range(len(kept))), *(t.name for t in fields)])
 
-    fields = list(to_arrow_schema(StructType.fromDDL(out)))
-    return narrow.mapInArrow(run, f"_id {kind}, {out}").withColumnRenamed("_id", id_col)
+    schema = StructType([*narrow.schema.fields[: len(kept)], *StructType.fromDDL(out).fields])
+    return narrow.mapInArrow(run, schema).select(*(F.col(f"_k{n}").alias(c) for n, c in enumerate(kept)), *(t.name for t in fields))
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:

@@ -48,6 +48,9 @@ def test_round_trip_query(spark):
     assert bpe.round_trip(df.limit(0), tokenizer_path("byte_bpe_50k.json")).count() == 0
     ids = {r.doc_id: list(r.token_ids) for r in bpe.encode(df, tokenizer_path("byte_bpe_50k.json")).collect()}
     assert ids[1][2] == 50256 and ids[3] == []
+    path = tokenizer_path("byte_bpe_50k.json")
+    back = bpe.decode(bpe.encode(df, path, keep=("n_tokens",)).toDF("doc_id", "kept", "n", "token_ids"), path)
+    assert {(r.doc_id, r.text) for r in back.collect()} == {(i, t or "") for i, t, _ in rows}
 
 
 @pytest.mark.parametrize("fallback", [True, False])
