@@ -95,10 +95,11 @@ def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     found = groups(df, id_col, text_col)
     kept = found.where(F.col(id_col) == F.col("component_id"))
     repeated = staged(kept.groupBy(id_col).agg(F.count(F.lit(1)).alias("n")).select(F.col(id_col).alias("_kept"), F.col("n").alias("_rows")), "kept")
-    once = df.join(repeated.where("_rows = 1").select("_kept"), F.col(id_col) == F.col("_kept"), "left_semi")
+    # the kept ids grow with the rows, so they are never broadcast, however few they are in a small table
+    once = df.join(repeated.where("_rows = 1").select("_kept").hint("merge"), F.col(id_col) == F.col("_kept"), "left_semi")
     parts = [once]
     if not repeated.where("_rows > 1").isEmpty():
-        again = df.join(repeated.where("_rows > 1").select("_kept"), F.col(id_col) == F.col("_kept"), "left_semi")
+        again = df.join(repeated.where("_rows > 1").select("_kept").hint("merge"), F.col(id_col) == F.col("_kept"), "left_semi")
         parts.append(again.dropDuplicates([id_col]))
     parts.append(df.where(F.col(id_col).isNull()))
     out = parts[0]
