@@ -6,6 +6,7 @@ import math
 import duckdb
 import pytest
 
+import lectern.catalog_weekly  # noqa: F401
 from lectern.catalog import QUERIES, SQL
 
 
