@@ -21,8 +21,9 @@ from lectern.llm.common import per_text
 
 #: Fixed value: the pattern that byte-level tokenizers of this family cut texts with before merging.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-#: Words kept with their ids in each Python worker, and the longest of them; others are encoded each time.
-CACHED_WORDS, CACHED_LENGTH = 300_000, 48
+#: Words kept with their ids in each Python worker (as many again from before the last renewal), and the longest of
+#: them; others are encoded each time.
+CACHED_WORDS, CACHED_LENGTH = 400_000, 48
 #: Compatible pairs kept in each worker before the table starts anew.
 CACHED_PAIRS = 1_000_000
 #: Largest vocabulary that is sent to the executors.
@@ -56,16 +57,19 @@ def load(path: str) -> dict:
 
 
 class _Words(dict):
-    """Ids of words already encoded, as little-endian unsigned 32-bit integers."""
+    """Ids of words already encoded, as little-endian unsigned 32-bit integers; when full, words still in use move on."""
 
     def __init__(self, encode) -> None:
         super().__init__()
-        self.encode = encode
+        self.encode, self.before = encode, {}
 
     def __missing__(self, word: str) -> bytes:
-        ids = array("I", self.encode(word.encode())).tobytes()
+        ids = self.before.get(word)
+        if ids is None:
+            ids = array("I", self.encode(word.encode())).tobytes()
         if len(word) <= CACHED_LENGTH:
             if len(self) >= CACHED_WORDS:
+                self.before = dict(self)
                 self.clear()
             self[word] = ids
         return ids
@@ -82,11 +86,13 @@ class Codec:
         taken = set(self.special.values())
         self.id_of = {t: i for i, t in enumerate(self.tokens) if i not in taken and t}
         self.merged = {(a, b): (rank, to) for rank, (a, b, to) in enumerate(vocabulary["merges"])}
+        self.sizes = [len(t) for t in self.tokens]
+        self.reachable: dict[int, bool] = {}
         self.automaton = ahocorasick.Automaton()
         for token, i in self.id_of.items():
-            self.automaton.add_word(token.decode("latin-1"), (len(token), i))
+            if self.own(i):
+                self.automaton.add_word(token.decode("latin-1"), (len(token) - 1, i))
         self.automaton.make_automaton()
-        self.reachable: dict[int, bool] = {}
         self.shorter_of: dict[int, int] = {}
         self.pairs: dict[tuple[int, int], bool] = {}
         self.words = _Words(self.encode_word)
@@ -127,30 +133,33 @@ class Codec:
         return known
 
     def encode_word(self, data: bytes) -> list[int]:
-        longest: list[int] = [-1] * (len(data) + 1)
-        reach = [0] * (len(data) + 1)
-        for end, (n, token) in self.automaton.iter(data.decode("latin-1")):
-            start = end + 1 - n
-            if n > reach[start] and self.own(token):
-                longest[start], reach[start] = token, n
-        if reach[0] == len(data):
-            return [longest[0]]
+        total, sizes, pairs = len(data), self.sizes, self.pairs
+        longest = [-1] * (total + 1)
+        for end, (back, token) in self.automaton.iter(data.decode("latin-1")):
+            longest[end - back] = token  # later ends of one start are longer matches
+        token = longest[0]
+        if sizes[token] == total:
+            return [token]
         ids: list[int] = []
-        dead = bytearray(len(data) + 1)
-        at, token = 0, longest[0]
-        while at < len(data):
+        dead: set[int] = set()
+        at = 0
+        while at < total:
             while token >= 0:
-                end = at + len(self.tokens[token])
-                if not dead[end] and (not ids or self.compatible(ids[-1], token)):
-                    break
+                end = at + sizes[token]
+                if end not in dead:
+                    if not ids:
+                        break
+                    fits = pairs.get((ids[-1], token))
+                    if fits or fits is None and self.compatible(ids[-1], token):
+                        break
                 token = self.shorter(token)
             if token >= 0:
                 ids.append(token)
                 at, token = end, longest[end]
             else:
-                dead[at] = 1
+                dead.add(at)
                 token = ids.pop()
-                at -= len(self.tokens[token])
+                at -= sizes[token]
                 token = self.shorter(token)
         return ids
 
