@@ -18,8 +18,8 @@ from lectern.llm.common import per_text
 MARK = "▁"
 #: Fixed value: what an unknown character scores below the lowest piece.
 UNKNOWN_PENALTY = 10.0
-#: Words kept with their counts in each Python worker, and the longest of them.
-CACHED_WORDS, CACHED_LENGTH = 400_000, 48
+#: Words kept with their counts in each Python worker (as many again from before the last renewal), and the longest of them.
+CACHED_WORDS, CACHED_LENGTH = 600_000, 48
 #: Largest vocabulary that is sent to the executors.
 MAX_VOCABULARY = 1_000_000
 
@@ -35,14 +35,19 @@ def load(path: str) -> list[tuple[str, float]]:
 
 
 class _Words(dict):
+    """Counts of words already seen; when full, words still in use move on."""
+
     def __init__(self, count) -> None:
         super().__init__()
-        self.count = count
+        self.count, self.before = count, {}
 
     def __missing__(self, word: str) -> int:
-        n = self.count(MARK + word)
+        n = self.before.get(word)
+        if n is None:
+            n = self.count(MARK + word)
         if len(word) <= CACHED_LENGTH:
             if len(self) >= CACHED_WORDS:
+                self.before = dict(self)
                 self.clear()
             self[word] = n
         return n
