@@ -151,7 +151,7 @@ _ALL = [*weekly.SPINE, *_names(_OUTER), *_names(_MAIL), *_names(_SOCIAL), *_TOPI
 
 
 def pick(names: list[str], table: str, where: str = "") -> str:
-    return "SELECT " + ", ".join(f"round({n}, 6) AS {n}" if n in _FLOATS else n for n in names) + f" FROM {table} {where}"
+    return "SELECT " + ", ".join(f"round({n}, 6) + 0.0 AS {n}" if n in _FLOATS else n for n in names) + f" FROM {table} {where}"
 
 
 KEY = ["reader_id", "as_of_week_end"]
@@ -245,7 +245,7 @@ def agg_22(r: Run) -> DataFrame:
     return weekly.latest_dates(r.tables)
 
 
-@query("agg_24", body="SELECT w.as_of_week_end, count(s.reader_id) AS in_population, (SELECT count(DISTINCT reader_id) FROM subscription_state_interval) - count(s.reader_id) AS out_of_population, 0 AS excluded FROM weeks w LEFT JOIN spine s ON s.as_of_week_end = w.as_of_week_end GROUP BY w.as_of_week_end")
+@query("agg_24", body="SELECT w.as_of_week_end, count(s.reader_id) AS in_population, (SELECT count(DISTINCT reader_id) FROM subscription_state_interval) - count(s.reader_id) AS out_of_population, 0::BIGINT AS excluded FROM weeks w LEFT JOIN spine s ON s.as_of_week_end = w.as_of_week_end GROUP BY w.as_of_week_end")
 def agg_24(r: Run) -> DataFrame:
     return weekly.counters(r.intervals, r.weeks, r.settings)
 

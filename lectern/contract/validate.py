@@ -11,6 +11,7 @@ from dataclasses import dataclass, field
 from datetime import datetime, time
 from zoneinfo import ZoneInfo
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -259,8 +260,8 @@ def validate(spark: SparkSession, directory: str) -> Report:
         if exists(spark, path):
             try:
                 tables[t.name] = spark.read.parquet(path)
-            except PySparkException as e:
-                unreadable[t.name] = str(e).splitlines()[0][:200]
+            except (PySparkException, Py4JJavaError) as e:
+                unreadable[t.name] = (str(e).splitlines() or ['unreadable'])[0][:200]
     return Report(directory, m.contract_version, None, validate_tables(tables, m, unreadable))
 
 

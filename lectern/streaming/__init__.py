@@ -1,0 +1,5 @@
+"""Empty on purpose: the engine's inputs are closed deliveries, and every window is a calendar one.
+
+Should events ever arrive as a stream, the event layer of lectern.operators.daily is a stateless projection and a join to
+a static table, so it runs unchanged on readStream; its daily aggregates would then take a watermark on event_ts.
+"""
