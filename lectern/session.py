@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark.sql import SparkSession
 
 
@@ -31,3 +34,12 @@ def require_utc(spark: SparkSession) -> None:
     zone = spark.conf.get("spark.sql.session.timeZone")
     if zone not in ("UTC", "Etc/UTC", "GMT"):
         raise ValueError(f"spark.sql.session.timeZone is {zone}; the engine computes local days from a UTC session")
+
+
+def scratch_dir(spark: SparkSession) -> str:
+    """A folder of this application below the one that the cluster shares (spark.checkpoint.dir), or a temporary one where that is unset."""
+    path = spark.conf.get("spark.checkpoint.dir", None)
+    if not path:
+        path = tempfile.mkdtemp(prefix="lectern-")
+        spark.conf.set("spark.checkpoint.dir", path)
+    return f"{path.rstrip('/')}/lectern/{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
