@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -26,6 +28,7 @@ def build_session(name: str = "lectern", master: str | None = None, partitions:
         builder = builder.config(key, value)
     session = builder.getOrCreate()
     session.sparkContext.setLogLevel("ERROR")
+    ship(session)
     return session
 
 
@@ -43,3 +46,23 @@ def scratch_dir(spark: SparkSession) -> str:
         path = tempfile.mkdtemp(prefix="lectern-")
         spark.conf.set("spark.checkpoint.dir", path)
     return f"{path.rstrip('/')}/lectern/{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
+
+
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Sends this package to the executors once, so that their Python workers can import it wherever the driver was started."""
+    app = spark.sparkContext.applicationId
+    if app in _shipped:
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    path = f"{tempfile.mkdtemp(prefix='lectern-')}/lectern-{app}.zip"
+    with zipfile.ZipFile(path, "w") as z:
+        for folder, _, names in os.walk(root):
+            for name in names:
+                if name.endswith(".py"):
+                    file = os.path.join(folder, name)
+                    z.write(file, os.path.join("lectern", os.path.relpath(file, root)))
+    spark.sparkContext.addPyFile(path)
+    _shipped.add(app)
