@@ -23,7 +23,7 @@ SCALE, LEVEL = 256, 8
 #: Rows and queries of a block.
 ROW_BLOCK, QUERY_BLOCK = 8_192, 8_192
 #: Shares of the postings after which the proof is tried, and the rows that are scored exactly at once.
-STEPS, FEW = (0.25, 0.5, 0.75), 0.02
+STEPS, FEW = (0.5, 0.75), 0.1
 
 
 class Index:
