@@ -121,8 +121,8 @@ def counters(t: schema.Table, right: set[str]) -> dict[str, Column]:
             if f.allowed:
                 odd = c.isNotNull() & ~c.isin(*f.allowed)
                 out[f"enum|{f.name}"] = F.count_if(odd)
-                # only a few of them, as there can be any number
-                out[f"seen|{f.name}"] = F.slice(F.array_sort(F.collect_set(F.when(odd, F.substring(c, 1, 40)))), 1, 5) if f.name in ("id_grain",) else F.min(F.when(odd, F.substring(c, 1, 40)))
+                # one of them, as there can be any number
+                out[f"seen|{f.name}"] = F.min(F.when(odd, F.substring(c, 1, 40)))
             if f.non_negative:
                 out[f"negative|{f.name}"] = F.count_if(c < 0)
     for r in t.rules:
@@ -144,7 +144,7 @@ def check_rows(df: DataFrame, t: schema.Table, right: set[str]) -> tuple[int, li
     row = df.agg(F.count(F.lit(1)).alias("n"), *(c.alias(k) for k, c in counters(t, right).items())).first().asDict()
     out = []
     for f in t.fields:
-        for key, code, text in (("null", "NULL_IN_NON_NULLABLE", "has nulls"), ("enum", "ENUM_VALUE_OUT_OF_RANGE", f"allowed are {list(f.allowed or ())}; found {row.get(f'seen|{f.name}')}"), ("negative", "NEGATIVE_MEASURE", "is negative")):
+        for key, code, text in (("null", "NULL_IN_NON_NULLABLE", "has nulls"), ("enum", "ENUM_VALUE_OUT_OF_RANGE", f"allowed are {list(f.allowed or ())}; found {row.get(f'seen|{f.name}')!r} among others"), ("negative", "NEGATIVE_MEASURE", "is negative")):
             if row.get(f"{key}|{f.name}"):
                 out.append(Finding(t.name, code, f.name, row[f"{key}|{f.name}"], text))
     return row["n"], out, row

@@ -22,8 +22,7 @@ from lectern.model.surface import fit_surface, out_of_bounds, variances
 from lectern.operators import checks, daily
 from lectern.plans import panel as pn
 from lectern.plans import temporal
-from lectern.plans.buckets import completeness
-from lectern.plans.weekly import build_weekly, fanned_out, full_weeks, latest_dates, resolved_share, section_shares, stale_sources, unclosed_shares
+from lectern.plans.weekly import bucket_completeness, build_weekly, fanned_out, full_weeks, latest_dates, resolved_share, stale_sources, unclosed_shares
 
 #: Tables that a run may write. Fixed values.
 LANE_OUTPUTS = ("reader_week_features", "reader_week_cluster", "reader_week_measures", "cluster_profile", "k_selection", "gate_report")
@@ -104,10 +103,10 @@ def run_lane(spark: SparkSession, tables: dict[str, DataFrame], s: LaneSettings,
         raise LaneError("the model matrix has values that are no numbers")
     candidates = selection.sweep(spark, x, s.k_grid, s.gates, s.starts)
     champion_k, table = selection.select(candidates, s.gates)
-    shares = [r.asDict() for r in section_shares(tables["reader_section_day"], weeks[-1:], weekly).collect()]
+    buckets = bucket_completeness(tables["reader_section_day"], weeks[-1], weekly)
     stale = stale_sources(latest_dates({k: t for k, t in tables.items() if k != "subscription_state_interval"}), weeks[-1])
     resolved = float(np.mean([r.resolved_view_share for r in resolved_share(features).collect()]))
-    gates = gt.data_gates(duplicates=duplicates, stale=stale, resolved_share=resolved, buckets=completeness(s.bucket_map, {r["section"]: r["share"] for r in shares}), finite=True, variance_ok=not odd, g=s.gates)
+    gates = gt.data_gates(duplicates=duplicates, stale=stale, resolved_share=resolved, buckets=buckets, finite=True, variance_ok=not odd, g=s.gates)
     out = {"k_selection": spark.createDataFrame(table)}
     if champion_k is None:
         notes.append("no k survived the screens, so nothing was frozen and no labels were given")

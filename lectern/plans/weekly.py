@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from lectern.contract import vocabulary as v
 from lectern.functions import columns as fn
-from lectern.plans.buckets import BucketMap
+from lectern.plans.buckets import BucketMap, Completeness
 from lectern.plans.grid import WeekGrid
 
 KEY = ["reader_id", "as_of_week_end"]
@@ -321,6 +321,14 @@ def section_shares(section_day: DataFrame, weeks: Sequence[date], s: Settings) -
     return each.join(total, "as_of_week_end").where("total > 0").select("as_of_week_end", "section", (F.col("views") / F.col("total")).alias("share"))
 
 
+def bucket_completeness(section_day: DataFrame, week: date, s: Settings) -> Completeness:
+    """The map's completeness in a week: the rest's share is summed in the plan, only unmapped sections of weight come back."""
+    rest = bucketed(section_shares(section_day, [week], s), s).where(F.col("bucket") == s.bucket_map.catch_all)
+    share = rest.agg(F.coalesce(F.sum("share"), F.lit(0.0))).first()[0]
+    heavy = tuple(sorted(r.section for r in rest.where(F.col("share") >= s.bucket_map.completeness_min_view_share).select("section").collect()))
+    return Completeness(heavy, float(share), not heavy and share <= s.bucket_map.catch_all_share_max)
+
+
 def resolved_share(features: DataFrame) -> DataFrame:
     """Resolved reading over all reading by week; 0 where there was none."""
     r, u = F.sum("resolved_section_views_28d"), F.sum("unresolved_views_28d")
