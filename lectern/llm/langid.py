@@ -30,7 +30,7 @@ PER_LANGUAGE, MAX_CHARS, MAX_LANGUAGES = 300, 8000, 64
 #: Landmarks in all, and the ridge penalty.
 LANDMARKS, PENALTY = 128, 1e-3
 #: A text is rejected if its language is undetermined or its score is lower.
-LEAST_SCORE = 0.3
+LEAST_SCORE = 0.2
 UNDETERMINED = "und"
 
 
