@@ -37,8 +37,12 @@ class Run:
 
     def __init__(self, spark: SparkSession, sf_dir: str, settings: weekly.Settings = SETTINGS) -> None:
         self.settings = settings
-        self.tables = daily.outputs(build(spark, sf_dir))
-        dated = [df.select("local_date") for df in self.tables.values() if "local_date" in df.columns]
+        c = build(spark, sf_dir)
+        self.tables = daily.outputs(c)
+        # the days that the daily tables have, from the events themselves: the tables needn't be built for that
+        zone = c.manifest.timezone
+        dated = [c[daily.EVENTS].where("is_view").select("local_date")]
+        dated += [c.inputs[t].select(fn.local_date(F.col("event_ts"), zone).alias("local_date")) for t in ("email_click", "email_open", "community_action")]
         first, last = reduce(DataFrame.unionByName, dated).agg(F.min("local_date"), F.max("local_date")).first()
         self.weeks = settings.grid.week_ends(first, last)
 

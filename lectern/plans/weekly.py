@@ -90,7 +90,8 @@ def _sums(value: Column, names: dict[str, Column]) -> list[Column]:
 
 
 def _days(names: dict[str, Column]) -> list[Column]:
-    return [F.countDistinct(F.when(cond, F.col("local_date"))).cast("double").alias(name) for name, cond in names.items()]
+    """Active days of rows that are unique by reader, channel and day, which every build checks: no distinct count is needed."""
+    return [F.count_if(cond).cast("double").alias(name) for name, cond in names.items()]
 
 
 def _bins(cond: Column) -> dict[int, Column]:
@@ -128,6 +129,7 @@ def email(email_day: DataFrame, weeks: Sequence[date], s: Settings) -> DataFrame
     rows = require_columns(email_day, ("reader_id", "list_id", "local_date", "clicks"), "reader_email_day").where((F.col("clicks") > 0) & F.col("reader_id").isNotNull())
     if s.email_lists is not None:
         rows = rows.where(F.col("list_id").isin(*s.email_lists))
+    rows = rows.groupBy("reader_id", "local_date").agg(F.sum("clicks").alias("clicks"))
     every, recent = F.lit(True), F.col("bin") == 1
     aggs = _sums(F.col("clicks"), {"email_clicks_7d": recent, "email_clicks_28d": every}) + _days({"email_click_days_7d": recent, "email_click_days_28d": every})
     aggs += [F.max("local_date").alias("_last")] + [x for k, cond in _bins(every).items() for x in _sums(F.col("clicks"), {f"_b{k}": cond})]

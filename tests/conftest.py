@@ -10,7 +10,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 def spark(tmp_path_factory):
     from lectern.session import build_session
 
-    session = build_session("tests", master="local[4]", partitions=4, **{"spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared"))})
+    session = build_session("tests", master="local[4]", partitions=4, **{"spark.driver.memory": "8g", "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared"))})
     yield session
     session.stop()
 
