@@ -7,12 +7,17 @@ one matrix, for whole batches at once: presence rows times landmark rows, scaled
 
 The model is fitted on a bounded sample of labelled rows: for each language at most `per_language` texts of 20 to
 `max_chars` characters, the ones with the least hash in as many hash classes. Prediction reads whole texts.
+
+The scores say which language, not whether any: they sum to a constant, so some language always has a fair one. Whether
+a text is in a learned language at all is told by its words' letter triples: the share that the language's training
+texts have, against the share that these texts reach when one half of them is judged by the other.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -29,8 +34,9 @@ SPACE = sum(CLASSES**n for n in ORDERS)
 PER_LANGUAGE, MAX_CHARS, MAX_LANGUAGES = 300, 8000, 64
 #: Landmarks in all, and the ridge penalty.
 LANDMARKS, PENALTY = 128, 1e-3
-#: A text is rejected if its language is undetermined or its score is lower.
-LEAST_SCORE = 0.2
+#: A text is rejected if its language is undetermined, or if in each language the known share of its letter triples is
+#: under this part of the usual one: what all but a hundredth of the language's training texts reach, 0.5 at least.
+LEAST_SCORE, LEAST_USUAL = 0.6, 0.5
 UNDETERMINED = "und"
 
 
@@ -59,6 +65,76 @@ class Presence:
         return self.marks
 
 
+@cache
+def kinds() -> np.ndarray:
+    """Of each character: 0 space, 1 letter or mark, 2 number, 3 other."""
+    import unicodedata
+
+    of = {"L": 1, "M": 1, "N": 2, "Z": 0}
+    out = np.array([of.get(unicodedata.category(chr(c))[0], 3) for c in range(0x110000)], dtype=np.uint8)
+    out[[9, 10, 11, 12, 13, 28, 29, 30, 31, 0x85]] = 0
+    return out
+
+
+def triples(text: str) -> tuple[np.ndarray, int]:
+    """Each letter with its neighbours in the word, as one number, and how many other things the text has.
+
+    Words with a number in them and runs of two or more signs are other things; single signs are nothing.
+    """
+    c = np.frombuffer(f"  {text.lower()}  ".encode("utf-32-le", "replace"), dtype=np.uint32)
+    kind = kinds()[c]
+    inside = (kind == 1) | (kind == 2)
+    starts, ends = np.flatnonzero(inside[1:] & ~inside[:-1]) + 1, np.flatnonzero(~inside[1:] & inside[:-1]) + 1
+    numbers = np.concatenate([[0], np.cumsum(kind == 2)])
+    mixed = numbers[ends] > numbers[starts]
+    turns = np.zeros(len(c) + 1, dtype=np.int32)
+    turns[starts[mixed]] += 1
+    turns[ends[mixed]] -= 1
+    letter = (kind == 1) & (np.cumsum(turns)[:-1] == 0)
+    x, at = np.where(letter, c, 32).astype(np.int64), np.flatnonzero(letter)
+    sign = kind == 3
+    runs = np.count_nonzero(sign[1:-1] & sign[2:] & ~sign[:-2])
+    return x[at - 1] << 42 | x[at] << 21 | x[at + 1], int(np.count_nonzero(mixed) + runs)
+
+
+@dataclass
+class Familiar:
+    """The letter triples that training texts have, sorted, whether each language has them, and the usual known share by language."""
+
+    found: np.ndarray = field(default_factory=lambda: np.zeros(0, dtype=np.int64))
+    has: np.ndarray = field(default_factory=lambda: np.zeros((0, 0), dtype=bool))
+    usual: np.ndarray = field(default_factory=lambda: np.zeros(0))
+
+    def shares(self, text: str) -> np.ndarray:
+        """The known share of the text's triples and other things, in each language."""
+        own, others = triples(text)
+        if not len(own) or not len(self.found):
+            return np.zeros(self.has.shape[1])
+        at = np.minimum(np.searchsorted(self.found, own), len(self.found) - 1)
+        places, times = np.unique(at[self.found[at] == own], return_counts=True)
+        return times @ self.has[places] / (len(own) + others)
+
+    def score(self, text: str) -> float:
+        """The known share as a part of the usual one, in the language where that is most."""
+        return float((self.shares(text) / self.usual).max(initial=0.0))
+
+
+def familiar(samples: list[tuple[str, str]], languages: list[str]) -> Familiar:
+    """What the samples make familiar; the usual shares are measured on each half of a language's samples by the other half."""
+
+    def table(parts: list[list[str]]) -> Familiar:
+        own = [np.unique(np.concatenate([triples(t)[0] for t in texts])) if texts else np.zeros(0, dtype=np.int64) for texts in parts]
+        found = np.unique(np.concatenate(own))
+        return Familiar(found, np.stack([np.isin(found, x) for x in own], axis=1))
+
+    of = [[t for t, own in samples if own == lang] for lang in languages]
+    halves = table([texts[::2] for texts in of]), table([texts[1::2] for texts in of])
+    judged = [[halves[1 - k % 2].shares(t)[n] for k, t in enumerate(texts)] for n, texts in enumerate(of)]
+    out = table(of)
+    out.usual = np.array([max(LEAST_USUAL, np.quantile(x, 0.01)) for x in judged])
+    return out
+
+
 @dataclass
 class Model:
     """languages: learned values; rows: landmarks by n-grams they have, scaled; columns: those n-grams; weights: landmarks by languages."""
@@ -69,6 +145,7 @@ class Model:
     rows: np.ndarray
     weights: np.ndarray
     bias: np.ndarray
+    familiar: Familiar = field(default_factory=Familiar)
 
     def scores(self, texts: list[str], presence: Presence) -> np.ndarray:
         have = np.zeros((len(texts), len(self.columns)), dtype=np.float32)
@@ -127,6 +204,7 @@ def fit(samples: list[tuple[str, str]], landmarks: int = LANDMARKS, penalty: flo
     middle, mean = mapped.mean(axis=0), wanted.mean(axis=0)
     centred = mapped - middle
     ridge = np.linalg.solve(centred.T @ centred + penalty * len(samples) * np.eye(len(chosen)), centred.T @ (wanted - mean))
+    model.familiar = familiar(samples, languages)
     model.weights, model.bias = (half @ ridge).astype(np.float32), (mean - middle @ ridge).astype(np.float32)
     return model
 
@@ -172,15 +250,16 @@ def identify(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang
 
 
 def keep_identified(df: DataFrame, model: Model, text_col: str = "text", lang_col: str = "lang", least_score: float = LEAST_SCORE) -> DataFrame:
-    """The rows of df whose language is determined with the least score, in df's columns; a null language becomes the predicted one."""
+    """The rows of df whose language is determined and which are familiar with the least score, in df's columns; a null language becomes the predicted one."""
     names = df.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         presence = Presence(model.letters)
         for part in sliced(batches):
-            found = model.predict(part.column(names.index(text_col)).to_pylist(), presence)
+            texts = part.column(names.index(text_col)).to_pylist()
+            found = model.predict(texts, presence)
             columns, at = list(part.columns), names.index(lang_col)
             columns[at] = pa.array([old if old is not None else new for old, (new, _) in zip(columns[at].to_pylist(), found, strict=True)], type=columns[at].type)
-            yield pa.RecordBatch.from_arrays(columns, schema=part.schema).filter(pa.array([lang != UNDETERMINED and s >= least_score for lang, s in found]))
+            yield pa.RecordBatch.from_arrays(columns, schema=part.schema).filter(pa.array([lang != UNDETERMINED and model.familiar.score(t) >= least_score for t, (lang, _) in zip(texts, found, strict=True)]))
 
     return df.mapInArrow(run, df.schema)

@@ -64,3 +64,13 @@ def test_odd_rows(spark):
     assert kept.schema == df.schema and kept.count() == len(rows) - 3
     assert [r.lang for r in kept.where("text like 'the the%'").collect()] == ["en"]
     assert langid.identify(df.limit(0)).count() == 0
+
+
+def test_unlearned_texts_are_rejected(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    odd = ["Это обычный текст на русском языке.", "日本語の文章です。これは試験です。", "Αυτό είναι ένα κείμενο.", "xqzv kjwq pzxx vbnm qwrtp zzkq jjxv", "#### 12345 x !! 6789 ()", "12345 !! a", "Đây là một văn bản tiếng Việt."]
+    clean = ["A.", "Re.", "Éaux."]
+    planted = spark.createDataFrame([(10_000_000 + k, t) for k, t in enumerate(odd + clean)], "doc_id long, text string").selectExpr("doc_id", "text", "CAST(NULL AS string) AS lang", "'s' AS source", "CAST(length(text) AS bigint) AS n_chars")
+    both = docs.unionByName(planted)
+    kept = {r.doc_id for r in langid.keep_identified(both, langid.train(both)).select("doc_id").collect()}
+    assert kept == {r.doc_id for r in docs.select("doc_id").collect()} | {10_000_000 + len(odd) + k for k in range(len(clean))}
