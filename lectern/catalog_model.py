@@ -36,8 +36,6 @@ from lectern.sources.testdata import delivery, manifest, sql
 
 EASY = Thresholds(selection_perturbation_draws=3)
 LANE = LaneSettings(manifest(), BUCKETS, k_grid=(3,), starts=4, gates=EASY)
-#: Rows of a matrix that is fitted in one task at most.
-FIT_ROWS = 2000
 
 
 def frame(spark: SparkSession, rows: list, names: str) -> DataFrame:
@@ -151,10 +149,10 @@ def chk_10(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def matrix(r: Run) -> tuple[DataFrame, np.ndarray]:
-    """Keys in order, and the bounded matrix of the four scaled columns."""
+    """Keys in order, and the matrix of the four scaled columns, of all eligible reader-weeks."""
     from lectern.plans.lane import fit_rows
 
-    rows = fit_rows(pn.eligible(r.features), FIT_ROWS, SEED).select(*KEY, F.array(*scaled().values()).alias("x")).collect()
+    rows = fit_rows(pn.eligible(r.features), None, SEED).select(*KEY, F.array(*scaled().values()).alias("x")).collect()
     return [(x.reader_id, x.as_of_week_end) for x in rows], np.array([x.x for x in rows])
 
 
@@ -220,7 +218,7 @@ query("ml_17", body="SELECT reader_id, as_of_week_end, " + ", ".join(f"round({x}
 def measured(r: Run) -> tuple[Measures, np.ndarray, kn.KMeans, DataFrame]:
     from lectern.plans.lane import fit_rows
 
-    rows = fit_rows(pn.eligible(r.features), FIT_ROWS, SEED)
+    rows = fit_rows(pn.eligible(r.features), None, SEED)
     found = rows.select(F.array(*scaled().values()).alias("x"), F.array(*(F.col(SOURCES[s]).cast("double") for s in _SIGNALS)).alias("y")).collect()
     x, y = np.array([f.x for f in found]), np.array([f.y for f in found])
     best = kn.champion(x, 3, 3)[0]

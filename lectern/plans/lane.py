@@ -65,10 +65,11 @@ def read_daily(spark: SparkSession, directory: str) -> dict[str, DataFrame]:
     return {n: df for n, df in found.items() if df is not None}
 
 
-def fit_rows(panel: DataFrame, limit: int, seed: int) -> DataFrame:
-    """The panel, or the rows with the least digests of it: the matrix that clusters are fitted on has a bounded size."""
+def fit_rows(panel: DataFrame, limit: int | None, seed: int) -> DataFrame:
+    """The panel by digest, whole without a limit, else the rows with the least digests of it."""
     digest = F.sha2(F.concat_ws(":", F.lit(f"fit{seed}"), "reader_id", F.col("as_of_week_end").cast("string")).cast("binary"), 256)
-    return panel.withColumn("_d", digest).orderBy("_d", "reader_id").limit(limit).drop("_d")
+    rows = panel.withColumn("_d", digest).orderBy("_d", "reader_id")
+    return (rows if limit is None else rows.limit(limit)).drop("_d")
 
 
 def run_lane(spark: SparkSession, tables: dict[str, DataFrame], s: LaneSettings, reviewed: bool = False, max_weeks: int | None = None) -> LaneResult:

@@ -182,3 +182,15 @@ def test_command_line(spark, tmp_path, capsys):
     assert code in (cli.NO_MODEL, cli.GATED) and spark.read.parquet(f"{c}/out/gate_report.parquet").count() > 5
     assert cli.main(["lane", c, "--bucket-map", f"{c}/none.json"], spark) == cli.UNTRUSTED
     assert cli.main(["lint-mapping", c]) == cli.UNTRUSTED
+
+
+def test_model_queries_label_all_eligible_rows(spark):
+    from lectern.catalog_model import labelled, matrix
+    from lectern.catalog_weekly import Run
+    from lectern.plans import panel as pn
+
+    r = Run(spark, "/root/testdata/sf0.1")
+    keys, x = matrix(r)
+    eligible = pn.eligible(r.features).count()
+    assert eligible > 2000 and len(keys) == len(set(keys)) == len(x) == eligible
+    assert labelled(r, keys, kn.champion(x, 3, 4)[0].labels).count() == eligible
