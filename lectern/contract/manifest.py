@@ -62,7 +62,7 @@ class Population:
     def __post_init__(self) -> None:
         _need(self.definition_id.strip(), "scored_population.definition_id is empty")
         _subset(self.entitled_states, v.STATES, "scored_population.entitled_states")
-        _need(len(set(self.entitled_states)) == len(self.entitled_states), "scored_population.entitled_states repeats a state")
+        _need(len(set(self.entitled_states)) == len(self.entitled_states), "scored_population.entitled_states has repeats")
 
 
 @dataclass(frozen=True)
@@ -121,7 +121,7 @@ def parse(raw: object) -> Manifest:
     for key in REQUIRED_KEYS:
         _need(key in raw, f"{FILENAME} has no {key}, and there is no default for it")
     _need(not (open_places := unanswered(raw)), f"{FILENAME} still has {UNANSWERED} at {open_places}")
-    _need(raw["contract_name"] == schema.NAME, f"contract_name is {raw['contract_name']!r}, not {schema.NAME!r}")
+    _need(isinstance(raw["contract_name"], str) and bool(raw["contract_name"].strip()), "contract_name is empty")
     zone = raw["day_boundary_timezone"]
     _need(isinstance(zone, str) and zone.strip(), "day_boundary_timezone is empty")
     try:
@@ -151,6 +151,7 @@ def parse(raw: object) -> Manifest:
         Population(str(population["definition_id"]), _texts(population["entitled_states"], "scored_population.entitled_states")),
         availability,
         exclusions,
+        raw["contract_name"],
     )
 
 

@@ -8,8 +8,8 @@ from pyspark.sql.types import ArrayType, DataType, DoubleType, StringType, Struc
 
 from lectern.contract import vocabulary as v
 
-#: What a delivery's manifest has to name.
-NAME, VERSION = "engagement-kernel-input", "1.0.0"
+#: The name that manifests made here give their contract (one read from a file keeps its own), and the version read here.
+NAME, VERSION = "reader-engagement-input", "1.0.0"
 TEXT, INSTANT, SECONDS, TEXTS = StringType(), TimestampType(), DoubleType(), ArrayType(StringType())
 
 

@@ -53,6 +53,7 @@ class Report:
     version: str
     manifest_error: str | None = None
     tables: tuple[TableReport, ...] = field(default_factory=tuple)
+    contract: str = schema.NAME
 
     @property
     def findings(self) -> tuple[Finding, ...]:
@@ -67,18 +68,18 @@ class Report:
         return UNTRUSTWORTHY if self.manifest_error else FINDINGS if self.findings else OK
 
     def render(self) -> str:
-        head = [f"contract: {schema.NAME} {self.version}", f"directory: {self.directory}", ""]
+        head = [f"contract: {self.contract} {self.version}", f"directory: {self.directory}", ""]
         if self.manifest_error:
             return "\n".join([*head, f"MANIFEST {self.manifest_error}", "", "no table was checked"])
         lines = []
         for t in self.tables:
             lines.append(f"{'FAIL' if t.findings else 'PASS'}  {t.table:20} {f'{t.rows} rows' if t.present else 'absent'}")
             lines += [f"        {f}" for f in t.findings]
-        return "\n".join([*head, *lines, "", f"FAIL: {len(self.findings)} finding(s)" if self.findings else "PASS: every table conforms"])
+        return "\n".join([*head, *lines, "", f"FAIL: {len(self.findings)} finding(s)" if self.findings else "PASS: no findings"])
 
     def to_json(self) -> str:
         tables = [{"table": t.table, "present": t.present, "rows": t.rows, "passed": not t.findings, "findings": [{"code": f.code, "column": f.column, "rows": f.rows, "message": f.message} for f in t.findings]} for t in self.tables]
-        return json.dumps({"contract_name": schema.NAME, "contract_version": self.version, "directory": self.directory, "passed": self.exit_code == OK, "manifest_error": self.manifest_error, "tables": tables}, indent=2, sort_keys=True)
+        return json.dumps({"contract_name": self.contract, "contract_version": self.version, "directory": self.directory, "passed": self.exit_code == OK, "manifest_error": self.manifest_error, "tables": tables}, indent=2, sort_keys=True)
 
 
 def check_columns(df: DataFrame, t: schema.Table) -> list[Finding]:
@@ -262,7 +263,7 @@ def validate(spark: SparkSession, directory: str) -> Report:
                 tables[t.name] = spark.read.parquet(path)
             except (PySparkException, Py4JJavaError) as e:
                 unreadable[t.name] = (str(e).splitlines() or ['unreadable'])[0][:200]
-    return Report(directory, m.contract_version, None, validate_tables(tables, m, unreadable))
+    return Report(directory, m.contract_version, None, validate_tables(tables, m, unreadable), m.contract_name)
 
 
 __all__ = ["Finding", "Report", "TableReport", "validate", "validate_tables"]

@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 import zipfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(name: str = "lectern", master: str | None = None, partitions: int | None = None, **conf: str) -> SparkSession:
@@ -39,13 +40,28 @@ def require_utc(spark: SparkSession) -> None:
         raise ValueError(f"spark.sql.session.timeZone is {zone}; the engine computes local days from a UTC session")
 
 
-def scratch_dir(spark: SparkSession) -> str:
-    """A folder of this application below the one that the cluster shares (spark.checkpoint.dir), or a temporary one where that is unset."""
-    path = spark.conf.get("spark.checkpoint.dir", None)
+def shared_dir(spark: SparkSession) -> str:
+    """The folder that all executors share (spark.checkpoint.dir). Where it is unset, a local master, which is one machine,
+    gets a temporary one; any other master has to name one, as its executors don't see each other's disks."""
+    path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not path:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError(f"spark.checkpoint.dir is unset; with the master {spark.sparkContext.master} it has to name a folder that all executors share")
         path = tempfile.mkdtemp(prefix="lectern-")
         spark.conf.set("spark.checkpoint.dir", path)
-    return f"{path.rstrip('/')}/lectern/{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
+    return path.rstrip("/")
+
+
+def scratch_dir(spark: SparkSession) -> str:
+    """A new folder of this application below the shared one."""
+    return f"{shared_dir(spark)}/lectern/{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
+
+
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """df written as Parquet in the shared folder and read again: what several plans use is computed once, and a lost executor costs nothing."""
+    path = f"{scratch_dir(df.sparkSession)}-{name}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 _shipped: set[str] = set()
