@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -12,25 +10,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-#: Rows that a Python pass holds as Python objects at once; a batch is walked in such slices.
-SLICE_ROWS = 128
-
+from lectern.session import staged
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share (spark.checkpoint.dir); where unset, as in tests, a temporary one is set."""
-    path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not path:
-        path = tempfile.mkdtemp(prefix="lectern-")
-        spark.conf.set("spark.checkpoint.dir", path)
-    return path.rstrip("/")
+__all__ = ["per_text", "read", "sliced", "staged"]
 
-
-def staged(df: DataFrame, name: str) -> DataFrame:
-    """df written as Parquet in the shared folder and read again: the lineage is cut, and a lost executor costs nothing."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/lectern/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+#: Rows that a Python pass holds as Python objects at once; a batch is walked in such slices.
+SLICE_ROWS = 128
 
 
 def sliced(batches: Iterator[pa.RecordBatch], rows: int = SLICE_ROWS) -> Iterator[pa.RecordBatch]:
