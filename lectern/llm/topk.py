@@ -1,10 +1,11 @@
 """Exact inner-product search with an impact-ordered index, a score at a time.
 
 Vectors are integers. In a block of rows, the index keeps for each component the rows' values in quantised levels, each
-level a posting segment. A query takes the segments in descending impact (its component times the level's best value)
+level a posting segment. A query takes the segments in descending impact (its component times the segment's best value)
 and adds them to upper bounds of the rows' scores; rows that a component's segments haven't reached yet are bounded by
-that component's next segment. The best rows so far are scored exactly, and once few rows have an upper bound that
-reaches the k-th of those scores, just these possible members are scored exactly; the proof covers all others.
+that component's next segment. At each step the best rows so far are scored exactly: rows whose bound is below the k-th
+of those scores are proven out, the others are possible members. The walk stops once the possible members are few, at
+the last posting at the latest, and then only they are scored exactly, however many they are.
 
 Rows and queries are dealt into blocks of bounded size by hash, and each pair of blocks is one group, so no task holds
 all queries or all rows. Each pair gives k rows a query at most, from which the k best of all blocks are taken.
@@ -19,74 +20,89 @@ from pyspark.sql import functions as F
 
 from lectern.llm.common import staged
 
-SCALE, LEVEL = 256, 8
+SCALE, LEVEL = 256, 4
 #: Rows and queries of a block.
 ROW_BLOCK, QUERY_BLOCK = 8_192, 8_192
-#: Shares of the postings after which the proof is tried, and the rows that are scored exactly at once.
-STEPS, FEW = (0.5, 0.75), 0.1
+#: Shares of the postings after which the bounds are looked at; the last is all of them.
+STEPS = (0.6, 0.8, 0.9, 0.95, 1.0)
+#: The share of a block's rows that are few: the walk goes on while more are possible.
+FEW = 0.02
 
 
 class Index:
-    """Posting segments of one block of rows: for each component the rows by level, in runs of one array."""
+    """Posting segments of one block of rows: for each component the rows by level, in runs of one array.
+
+    asked and rescored count the queries and the rows that were scored exactly for them.
+    """
 
     def __init__(self, ids: np.ndarray, vectors: np.ndarray) -> None:
         order = np.argsort(ids, kind="stable")
         self.ids, self.vectors = ids[order], vectors[order]
-        level = np.floor_divide(self.vectors, LEVEL)
-        dims = self.vectors.shape[1]
-        self.rows = np.argsort(level, axis=0, kind="stable").T.astype(np.int32)
-        sorted_levels = np.take_along_axis(level, self.rows.T, axis=0).T
-        starts, dim, low = [], [], []
-        for d in range(dims):
-            at = np.concatenate([[0], np.flatnonzero(np.diff(sorted_levels[d])) + 1]) if len(ids) else np.array([], dtype=int)
-            starts.append(at + d * len(ids))
-            dim.append(np.full(len(at), d))
-            low.append(sorted_levels[d][at] * LEVEL)
-        self.start, self.dim, self.low = (np.concatenate(x) if x else np.array([], dtype=int) for x in (starts, dim, low))
-        self.end = np.append(self.start[1:], dims * len(ids))
-        self.flat = self.rows.ravel()
+        self.asked = self.rescored = 0
+        n, dims = self.vectors.shape
+        # components by rows: each component's rows in ascending order of value, cut where the level changes
+        values = np.ascontiguousarray(self.vectors.T)
+        rows = np.argsort(values, axis=1, kind="stable").astype(np.int32)
+        values = np.take_along_axis(values, rows, axis=1).ravel()
+        self.flat = rows.ravel()
+        level, place = np.floor_divide(values, LEVEL), np.arange(dims * n)
+        new = np.ones(dims * n, dtype=bool)
+        new[1:] = (level[1:] != level[:-1]) | (place[1:] % max(n, 1) == 0)
+        self.start = np.flatnonzero(new)
+        self.end = np.append(self.start[1:], dims * n)[: len(self.start)]
+        self.dim = self.start // max(n, 1)
+        self.least, self.most = values[self.start], values[self.end - 1]
 
     def exact(self, query: np.ndarray, rows: np.ndarray) -> np.ndarray:
         return (self.vectors[rows] @ query).astype(np.int64)
 
+    def possible(self, query: np.ndarray, k: int, own: int | None) -> np.ndarray:
+        """The rows that the bounds leave as possible members of the k best."""
+        n = len(self.ids)
+        live = np.flatnonzero(query[self.dim])
+        dim, size = self.dim[live], (self.end - self.start)[live]
+        impact = np.maximum(query[dim] * self.least[live], query[dim] * self.most[live])
+        order = np.argsort(-impact, kind="stable")
+        reached = np.cumsum(size[order])
+        own_rows = np.flatnonzero(self.ids == own) if own is not None else np.array([], dtype=int)
+        taken, have = 0, np.zeros(n)
+        seen = np.zeros((n, len(query)))
+        members = np.arange(n)
+        for share in STEPS:
+            upto = int(np.searchsorted(reached, share * reached[-1], side="left")) + 1
+            now = order[taken:upto]
+            taken = max(taken, upto)
+            if len(now):
+                sizes = size[now]
+                at = np.arange(int(sizes.sum())) + np.repeat(self.start[live[now]] - (np.cumsum(sizes) - sizes), sizes)
+                rows = self.flat[at]
+                have += np.bincount(rows, weights=np.repeat(impact[now], sizes), minlength=n)
+                seen[rows, np.repeat(dim[now], sizes)] = 1.0
+            rest = np.full(len(query), -np.inf)
+            np.maximum.at(rest, dim[order[taken:]], impact[order[taken:]])
+            rest[np.isinf(rest)] = 0.0
+            # whole numbers below 2 ** 53: the sums are exact whatever their order
+            bound = have + rest.sum() - seen @ rest
+            bound[own_rows] = -np.inf
+            top = np.argpartition(-bound, 4 * k)[: 4 * k]
+            top = top[bound[top] > -np.inf]
+            if len(top) < k:
+                continue
+            members = np.flatnonzero(bound >= np.partition(self.exact(query, top), -k)[-k])
+            if len(members) <= max(8 * k, FEW * n):
+                break
+        return members
+
     def best(self, query: np.ndarray, k: int, own: int | None) -> tuple[np.ndarray, np.ndarray]:
         """Ids and scores of the k best rows but those with the query's own id, ties to smaller ids."""
-        n = len(self.ids)
-        possible = np.arange(n)
-        if n > 4 * k and np.any(query):
-            impact = np.maximum(query[self.dim] * self.low, query[self.dim] * (self.low + LEVEL - 1))
-            order = np.argsort(-impact, kind="stable")
-            reached = np.cumsum((self.end - self.start)[order])
-            for share in STEPS:
-                taken = order[: int(np.searchsorted(reached, share * reached[-1])) + 1]
-                rest = np.full(len(query), -np.inf)
-                left = order[len(taken) :]
-                np.maximum.at(rest, self.dim[left], impact[left])
-                # a component all of whose segments are taken bounds no other row: count from its least impact
-                done = np.isinf(rest)
-                if done.any():
-                    least = np.full(len(query), np.inf)
-                    np.minimum.at(least, self.dim, impact)
-                    rest[done] = least[done]
-                sizes = (self.end - self.start)[taken]
-                total = int(sizes.sum())
-                at = np.arange(total) + np.repeat(self.start[taken] - (np.cumsum(sizes) - sizes), sizes)
-                bound = rest.sum() + np.bincount(self.flat[at], weights=np.repeat(impact[taken] - rest[self.dim[taken]], sizes), minlength=n)
-                if own is not None:
-                    bound[self.ids == own] = -np.inf
-                top = np.argpartition(-bound, 4 * k)[: 4 * k]
-                top = top[self.ids[top] != own] if own is not None else top
-                if len(top) < k:
-                    continue
-                members = np.flatnonzero(bound >= np.partition(self.exact(query, top), -k)[-k])
-                if len(members) <= max(8 * k, FEW * n):
-                    possible = members
-                    break
+        rows = self.possible(query, k, own) if len(self.ids) > 4 * k and np.any(query) else np.arange(len(self.ids))
         if own is not None:
-            possible = possible[self.ids[possible] != own]
-        scores = self.exact(query, possible)
-        order = np.lexsort((self.ids[possible], -scores))[:k]
-        return self.ids[possible[order]], scores[order]
+            rows = rows[self.ids[rows] != own]
+        self.asked += 1
+        self.rescored += len(rows)
+        scores = self.exact(query, rows)
+        order = np.lexsort((self.ids[rows], -scores))[:k]
+        return self.ids[rows[order]], scores[order]
 
 
 def usable(df: DataFrame, id_col: str, vector_col: str) -> DataFrame:

@@ -34,6 +34,27 @@ def test_index_is_exact(spread):
     assert topk.Index(ids[:3], vectors[:3]).best(np.zeros(16), 5, None)[0].tolist() == sorted(ids[:3].tolist())
 
 
+@pytest.mark.parametrize("sf", ["sf0.01", "sf0.1"])
+def test_few_rows_are_rescored(sf):
+    import pyarrow.parquet as pq
+
+    table = pq.read_table(f"/root/testdata/{sf}/embeddings.parquet").to_pylist()
+    rows = [(r["vec_id"], [math.floor(256 * x) for x in r["embedding"]]) for r in table if r["embedding"] is not None and all(x is not None and math.isfinite(x) for x in r["embedding"])]
+    ids, vectors = np.array([i for i, _ in rows]), np.array([v for _, v in rows], dtype=float)
+    index = topk.Index(ids, vectors)
+    for i, v in zip(ids, vectors, strict=True):
+        if i % 50 == 0:
+            before = index.rescored
+            got, scores = index.best(v, 5, i)
+            assert index.rescored - before < 0.1 * len(ids)
+            every = (index.vectors @ v).astype(np.int64)
+            others = index.ids != i
+            order = np.lexsort((index.ids[others], -every[others]))[:5]
+            assert got.tolist() == index.ids[others][order].tolist() and scores.tolist() == every[others][order].tolist()
+    assert index.asked and index.rescored / index.asked < 0.06 * len(ids)
+    assert topk.Index(np.array([], dtype=int), np.zeros((0, 4))).best(np.ones(4), 5, None)[0].tolist() == []
+
+
 def test_search_with_odd_rows(spark):
     rng = np.random.default_rng(5)
     rows = [(k, rng.normal(size=8).tolist(), 1) for k in range(300)]
