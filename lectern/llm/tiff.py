@@ -5,6 +5,8 @@ packed with PackBits, LZW or deflate, undoes horizontal differencing and returns
 makes files of the same kinds, so that any bytes can be kept as 8-bit samples and read back exactly.
 
 A page that can't be decoded gives a row with null samples and the reason in `error`; a null or empty file gives no row.
+Whatever the bytes are, the reader ends, raises nothing but Corrupt, and takes memory for no more than one page: before a
+page is decoded, its size is held against the most that its stored bytes could unpack to and against `max_page`.
 """
 
 from __future__ import annotations
@@ -28,10 +30,13 @@ PREDICTOR, TILE_WIDTH, TILE_HEIGHT, TILE_OFFSETS, TILE_SIZES = 317, 322, 323, 32
 PLAIN, LZW, DEFLATE, OLD_DEFLATE, PACKBITS = 1, 5, 8, 32946, 32773
 #: Bytes and struct letter of each field type.
 TYPES = {1: (1, "B"), 2: (1, "B"), 3: (2, "H"), 4: (4, "I"), 6: (1, "b"), 7: (1, "B"), 8: (2, "h"), 9: (4, "i")}
+KINDS = {"B": "u1", "H": "u2", "I": "u4", "b": "i1", "h": "i2", "i": "i4"}
 CLEAR, END = 256, 257
 
 #: Stored pages: 192 RGB pixels, or 576 bytes, a row; so many rows a page at most, rows a strip, and the tiles' sides.
 ROW_BYTES, PIXELS, PAGE_ROWS, STRIP_ROWS, TILE = 576, 192, 512, 64, (64, 64)
+#: Bytes that one stored byte can stand for at most; and bytes of a decoded page, tiles' margins included, that a reader takes on.
+EXPANSION, MAX_PAGE = {PLAIN: 1, LZW: 4096, DEFLATE: 1032, OLD_DEFLATE: 1032, PACKBITS: 64}, 1 << 28
 
 
 class Corrupt(ValueError):
@@ -78,44 +83,39 @@ def unpack_bits(data: bytes, size: int) -> bytes:
 
 def lzw_pack(data: bytes) -> bytes:
     """LZW with codes of 9 to 12 bits, highest bit first, widened one code early as the format asks."""
-    acc = bits = 0
-    out = bytearray()
-    width, following = 9, 258
-    table = {bytes([b]): b for b in range(256)}
-
-    def put(code: int) -> None:
-        nonlocal acc, bits
-        acc, bits = acc << width | code, bits + width
-        while bits >= 8:
-            bits -= 8
-            out.append(acc >> bits & 255)
-        acc &= (1 << bits) - 1
-
-    put(CLEAR)
-    word = b""
-    for k in range(len(data)):
-        longer = word + data[k : k + 1]
-        if longer in table:
+    codes, widths = [CLEAR], [9]
+    width, following, word = 9, 258, -1
+    # a word of two bytes or more is known by its last but one word's code and its last byte
+    table: dict[int, int] = {}
+    for byte in data:
+        if word < 0:
+            word = byte
+            continue
+        key = word << 8 | byte
+        if (longer := table.get(key)) is not None:
             word = longer
             continue
-        put(table[word])
-        table[longer] = following
+        codes.append(word)
+        widths.append(width)
+        table[key] = following
         following += 1
         if following == 4095:
-            put(CLEAR)
-            table, width, following = {bytes([b]): b for b in range(256)}, 9, 258
+            codes.append(CLEAR)
+            widths.append(width)
+            table, width, following = {}, 9, 258
         elif following + 1 > 1 << width:
             width += 1
-        word = data[k : k + 1]
-    if word:
-        put(table[word])
+        word = byte
+    if word >= 0:
+        codes.append(word)
+        widths.append(width)
         following += 1
         if following + 1 > 1 << width and width < 12:
             width += 1
-    put(END)
-    if bits:
-        out.append(acc << 8 - bits & 255)
-    return bytes(out)
+    codes.append(END)
+    widths.append(width)
+    bits = np.unpackbits(np.array(codes, dtype=">u2").view(np.uint8).reshape(-1, 2), axis=1)
+    return np.packbits(bits[np.arange(16) >= 16 - np.array(widths)[:, None]]).tobytes()
 
 
 def lzw_unpack(data: bytes, size: int) -> bytes:
@@ -146,7 +146,8 @@ def lzw_unpack(data: bytes, size: int) -> bytes:
                 word = last + last[:1]
             else:
                 raise Corrupt("LZW code beyond the table")
-            table.append(last + word[:1])
+            if len(table) < 4096:
+                table.append(last + word[:1])
             if len(table) + 1 >= 1 << width and width < 12:
                 width += 1
         out.append(word)
@@ -222,96 +223,116 @@ def write(pages: list[np.ndarray], compression: int = DEFLATE, predictor: int =
     return bytes(out)
 
 
-def directories(data: bytes) -> Iterator[tuple[str, dict[int, list[int]]]]:
-    """Byte order and fields of each image directory, in the order of the chain; a chain that closes on itself is refused."""
+def directories(data: bytes) -> Iterator[tuple[str, dict[int, np.ndarray]]]:
+    """Byte order and fields of each image directory, in the order of the chain; directories that share bytes are refused."""
     order = {b"II*\0": "<", b"MM\0*": ">"}.get(bytes(data[:4]))
     if order is None or len(data) < 8:
         raise Corrupt("no TIFF header")
-    (at,), seen = struct.unpack_from(f"{order}I", data, 4), set()
+    (at,), left = struct.unpack_from(f"{order}I", data, 4), len(data) - 8
     while at:
-        if at in seen or at + 2 > len(data):
+        if at + 2 > len(data):
             raise Corrupt("the chain of directories is broken")
-        seen.add(at)
         (count,) = struct.unpack_from(f"{order}H", data, at)
         if at + 6 + 12 * count > len(data):
             raise Corrupt("a directory runs past the end")
-        fields = {}
+        left -= 6 + 12 * count
+        if left < 0:
+            raise Corrupt("the chain of directories closes on itself")
+        fields: dict[int, np.ndarray] = {}
         for k in range(count):
             tag, kind, n = struct.unpack_from(f"{order}HHI", data, at + 2 + 12 * k)
             size, letter = TYPES.get(kind, (0, ""))
-            if not size:
+            if not size or not n:
                 continue
             place = at + 10 + 12 * k
             if n * size > 4:
                 (place,) = struct.unpack_from(f"{order}I", data, place)
             if place + n * size > len(data):
                 raise Corrupt(f"field {tag} runs past the end")
-            fields[tag] = list(struct.unpack_from(f"{order}{n}{letter}", data, place))
+            fields[tag] = np.frombuffer(data, dtype=f"{order}{KINDS[letter]}", count=n, offset=place)
         yield order, fields
         (at,) = struct.unpack_from(f"{order}I", data, at + 2 + 12 * count)
 
 
-def samples_of(data: bytes, order: str, fields: dict[int, list[int]]) -> np.ndarray:
+def first_of(fields: dict[int, np.ndarray], tag: int, default: int | None = None) -> int | None:
+    return int(fields[tag][0]) if tag in fields else default
+
+
+def samples_of(data: bytes, order: str, fields: dict[int, np.ndarray], max_page: int = MAX_PAGE) -> np.ndarray:
     """The samples of one page: (height, width, samples) of 8 or 16 bits."""
-    one = lambda tag, default=None: fields.get(tag, [default])[0]
+    one = lambda tag, default=0: first_of(fields, tag, default)
     width, height, n, bits = one(WIDTH), one(HEIGHT), one(SAMPLES, 1), one(BITS, 1)
-    if not width or not height or set(fields.get(BITS, [1])) - {8, 16} or len(set(fields.get(BITS, [1]))) != 1:
-        raise Corrupt(f"{width} x {height} pixels of {fields.get(BITS)} bits")
+    if width < 1 or height < 1 or n < 1 or bits not in (8, 16) or (fields[BITS] != bits).any():
+        raise Corrupt(f"{width} x {height} pixels of {n} samples of {bits} bits, or of several sizes")
+    compression, predictor = one(COMPRESSION, PLAIN), one(PREDICTOR, 1)
+    if compression not in EXPANSION:
+        raise Corrupt(f"compression {compression}")
+    if predictor not in (1, 2):
+        raise Corrupt(f"predictor {predictor}")
     planes = n if one(PLANES, 1) == 2 else 1
     each, kind = n // planes, np.dtype(f"{order}u{bits // 8}")
     tiled = TILE_OFFSETS in fields
     bh, bw = (one(TILE_HEIGHT), one(TILE_WIDTH)) if tiled else (min(one(ROWS_PER_STRIP, height), height), width)
     offsets, sizes = (fields.get(TILE_OFFSETS), fields.get(TILE_SIZES)) if tiled else (fields.get(STRIP_OFFSETS), fields.get(STRIP_SIZES))
-    if not offsets or not sizes or not bh or not bw:
+    if offsets is None or sizes is None or bh < 1 or bw < 1:
         raise Corrupt("no strips or tiles")
     down, across = -(-height // bh), -(-width // bw)
-    if len(offsets) < down * across * planes or len(sizes) < len(offsets):
+    pieces = down * across * planes
+    if min(len(offsets), len(sizes)) < pieces:
         raise Corrupt("too few strips or tiles")
-    page = np.zeros((down * bh, across * bw, n), dtype=kind.newbyteorder("="))
-    for k in range(down * across * planes):
+    offsets, sizes = ([int(v) for v in x[:pieces]] for x in (offsets, sizes))
+    if min(offsets) < 0 or min(sizes) < 0 or any(a + b > len(data) for a, b in zip(offsets, sizes, strict=True)):
+        raise Corrupt("a strip or tile runs past the end")
+    whole = (down * bh if tiled else height) * across * bw * n * kind.itemsize
+    if whole > max_page:
+        raise Corrupt(f"a page of {whole} bytes is over the limit of {max_page}")
+    if whole > sum(sizes) * EXPANSION[compression]:
+        raise Corrupt(f"{sum(sizes)} stored bytes can't unpack to {whole}")
+    page = np.zeros((down * bh if tiled else height, across * bw, n), dtype=kind.newbyteorder("="))
+    for k in range(pieces):
         plane, rest = divmod(k, down * across)
         y, x = rest // across * bh, rest % across * bw
         rows = bh if tiled else min(bh, height - y)
         want = rows * bw * each * kind.itemsize
-        got = unpacked(data[offsets[k] : offsets[k] + sizes[k]], one(COMPRESSION, PLAIN), want)
+        got = unpacked(data[offsets[k] : offsets[k] + sizes[k]], compression, want)
         if len(got) != want:
             raise Corrupt(f"a strip or tile has {len(got)} bytes of {want}")
         block = np.frombuffer(got, dtype=kind).reshape(rows, bw, each).astype(page.dtype)
-        if one(PREDICTOR, 1) == 2:
+        if predictor == 2:
             block = np.cumsum(block, axis=1, dtype=page.dtype)
-        elif one(PREDICTOR, 1) != 1:
-            raise Corrupt(f"predictor {one(PREDICTOR)}")
         page[y : y + rows, x : x + bw, plane * each : (plane + 1) * each] = block
     return page[:height, :width]
 
 
-def pages_of(data: bytes | None) -> Iterator[tuple[int, dict[int, list[int]], np.ndarray | None, str | None]]:
+def pages_of(data: bytes | None, max_page: int = MAX_PAGE) -> Iterator[tuple[int, dict[int, np.ndarray], np.ndarray | None, str | None]]:
     """(page number, fields, samples or None, error or None) of each page."""
     number = -1
     try:
         for number, (order, fields) in enumerate(directories(data) if data else ()):
             try:
-                yield number, fields, samples_of(data, order, fields), None
+                yield number, fields, samples_of(data, order, fields, max_page), None
             except Corrupt as e:
                 yield number, fields, None, str(e)
     except Corrupt as e:
         yield number + 1, {}, None, str(e)
 
 
-def read_pages(df: DataFrame, id_col: str, media_col: str) -> DataFrame:
-    """One row per page of each TIFF: id, page, width, height, samples_per_pixel, bits, compression, tiled, pixels, error."""
+def read_pages(df: DataFrame, id_col: str, media_col: str, max_page: int = MAX_PAGE) -> DataFrame:
+    """One row per page of each TIFF: id, page, width, height, samples_per_pixel, bits, compression, tiled, pixels, error.
+
+    A page that takes more than max_page bytes, tiles' margins included, has null pixels and says so in `error`.
+    """
     kind = df.schema[id_col].dataType.simpleString()
     names = ["_id", "page", "width", "height", "samples_per_pixel", "bits", "compression", "tiled", "pixels", "error"]
-    types = [None, pa.int32(), *[pa.int64()] * 2, *[pa.int32()] * 3, pa.bool_(), pa.binary(), pa.string()]
+    types = [None, pa.int32(), *[pa.int64()] * 5, pa.bool_(), pa.binary(), pa.string()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in sliced(batches, 1):
-            for number, fields, samples, error in pages_of(part.column(1)[0].as_py()):
-                one = lambda tag, fields=fields: fields.get(tag, [None])[0]
-                values = [number, one(WIDTH), one(HEIGHT), one(SAMPLES), one(BITS), one(COMPRESSION), TILE_OFFSETS in fields, None if samples is None else samples.tobytes(), error]
+            for number, fields, samples, error in pages_of(part.column(1)[0].as_py(), max_page):
+                values = [number, *(first_of(fields, tag) for tag in (WIDTH, HEIGHT, SAMPLES, BITS, COMPRESSION)), TILE_OFFSETS in fields, None if samples is None else samples.tobytes(), error]
                 yield pa.RecordBatch.from_arrays([part.column(0), *(pa.array([v], type=t) for v, t in zip(values, types[1:], strict=True))], names=names)
 
-    schema = f"_id {kind}, page int, width bigint, height bigint, samples_per_pixel int, bits int, compression int, tiled boolean, pixels binary, error string"
+    schema = f"_id {kind}, page int, width bigint, height bigint, samples_per_pixel bigint, bits bigint, compression bigint, tiled boolean, pixels binary, error string"
     return df.select(F.col(id_col).alias("_id"), F.col(media_col).alias("_media")).mapInArrow(run, schema).withColumnRenamed("_id", id_col)
 
 
@@ -322,12 +343,12 @@ def payload_of(text: str | None) -> tuple[int, bytes]:
 
 
 def store(payload: bytes) -> bytes:
-    """The payload as RGB pages; its checksum says whether in PackBits strips, deflated strips or deflated tiles."""
+    """The payload as RGB pages; its checksum says whether in PackBits, LZW or deflated strips, or in deflated tiles."""
     rows = np.frombuffer(payload, dtype=np.uint8).reshape(-1, PIXELS, 3)
     pages = [rows[k : k + PAGE_ROWS] for k in range(0, len(rows), PAGE_ROWS)]
-    form = zlib.crc32(payload) % 3
-    if form == 0:
-        return write(pages, PACKBITS)
+    form = zlib.crc32(payload) % 4
+    if form < 2:
+        return write(pages, PACKBITS if form else LZW)
     return write(pages, DEFLATE, predictor=2, tile=TILE if form == 2 else None)
 
 

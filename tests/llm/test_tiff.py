@@ -72,6 +72,71 @@ def test_broken_files_give_reasons():
     assert next(tiff.pages_of(good[:8] + b"\xff" * 10 + good[18:]))[3] is not None
 
 
+def field_file(fields, body=b""):
+    """A little-endian file of one directory with the given (tag, type, count, value) entries, and a body at byte 8."""
+    at = 8 + len(body)
+    return b"II*\0" + struct.pack("<I", at) + body + struct.pack("<H", len(fields)) + b"".join(struct.pack("<HHII", *f) for f in fields) + bytes(4)
+
+
+BASE = {256: (3, 1, 4), 257: (3, 1, 2), 258: (3, 1, 8), 259: (3, 1, 1), 273: (4, 1, 8), 277: (3, 1, 1), 278: (3, 1, 2), 279: (4, 1, 8)}
+
+
+@pytest.mark.parametrize(
+    "change",
+    [
+        {256: (3, 0, 4)},
+        {257: (3, 0, 0)},
+        {277: (3, 1, 0), 284: (3, 1, 2)},
+        {258: (3, 0, 8)},
+        {256: (9, 1, 0xFFFFFFFB)},
+        {256: (4, 1, 100_000), 257: (4, 1, 100_000)},
+        {256: (4, 1, 0xFFFFFFFF), 257: (4, 1, 0xFFFFFFFF), 259: (3, 1, 8)},
+        {322: (4, 1, 4_000_000_000), 323: (4, 1, 4_000_000_000), 324: (4, 1, 8), 325: (4, 1, 8)},
+        {273: (9, 1, 0xFFFFFFF0)},
+        {279: (4, 1, 0xFFFFFFFF)},
+        {277: (4, 1, 0xFFFFFFFF)},
+        {259: (4, 1, 0xFFFFFFFF)},
+        {317: (3, 1, 7)},
+    ],
+)
+def test_crafted_fields_give_reasons(change):
+    entries = sorted((tag, *v) for tag, v in (BASE | change).items())
+    ((_, _, samples, error),) = tiff.pages_of(field_file(entries, bytes(range(8))))
+    assert samples is None and error
+    good = sorted((tag, *v) for tag, v in BASE.items())
+    ((_, _, samples, error),) = tiff.pages_of(field_file(good, bytes(range(8))))
+    assert error is None and samples.ravel().tolist() == list(range(8))
+
+
+def test_cut_and_changed_files_never_raise():
+    import tracemalloc
+
+    rnd = random.Random(5)
+    files = [tiff.write([noisy(33, 20, 3, 1), noisy(9, 9, 1, 2)], c, p, t) for c in tiff.EXPANSION for p in (1, 2) for t in (None, (16, 16))]
+    tracemalloc.start()
+    for _ in range(4000):
+        data = bytearray(rnd.choice(files))
+        for _ in range(rnd.randrange(1, 6)):
+            data[rnd.randrange(len(data)) if rnd.random() < 0.3 else -rnd.randrange(1, 200)] = rnd.choice([0, 1, 255, rnd.randrange(256)])
+        data = bytes(data[: rnd.randrange(len(data))] if rnd.random() < 0.2 else data)
+        for _, _, samples, error in tiff.pages_of(data, max_page=1 << 22):
+            assert (samples is None) == (error is not None)
+    assert tracemalloc.get_traced_memory()[1] < 64 << 20
+    tracemalloc.stop()
+
+
+def test_large_pages_are_refused_by_the_limit():
+    data = tiff.write([noisy(100, 100, 3, 1)])
+    ((_, _, samples, error),) = tiff.pages_of(data, max_page=29_999)
+    assert samples is None and "limit" in error
+    assert next(tiff.pages_of(data, max_page=30_000))[3] is None
+
+
+def test_every_form_is_stored():
+    forms = {next(tiff.pages_of(tiff.store(tiff.payload_of(f"text {k}")[1])))[1][tiff.COMPRESSION][0] for k in range(40)}
+    assert forms == {tiff.LZW, tiff.PACKBITS, tiff.DEFLATE}
+
+
 def test_read_pages(spark):
     page = noisy(5, 6, 3, 9)
     rows = [(1, tiff.write([page, page[:2]], tiff.LZW, 2)), (2, None), (None, b"junk")]
