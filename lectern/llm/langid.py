@@ -1,12 +1,15 @@
 """Language identification with a string kernel, Nystroem landmarks and one-versus-rest kernel ridge regression.
 
 The kernel of two texts is the number of distinct character n-grams (n from 1 to 3) that both have, divided by the
-geometric mean of the numbers each has. Letters are those frequent in the training sample, 63 at most; all other
-characters share one class. The landmarks are training texts; a text's scores are its kernel values against them times
-one matrix, for whole batches at once: presence rows times landmark rows, scaled, times the ridge weights.
+geometric mean of the numbers each has. Letters are the 223 that have the largest share in any one language's training
+texts, so each language and script brings its own; if there are more, all other letters share 32 classes by code point,
+and all other characters share one class. The landmarks are training
+texts; a text's scores are its kernel values against them times one matrix, for whole batches at once: presence rows
+times landmark rows, scaled, times the ridge weights.
 
-The model is fitted on a bounded sample of labelled rows: for each language at most `per_language` texts of 20 to
-`max_chars` characters, the ones with the least hash in as many hash classes. Prediction reads whole texts.
+The model is fitted on a bounded sample of labelled rows: for each language at most `per_language` texts (fewer, down to
+8, where there are over 64 languages, so that there are about as many in all) of 20 to `max_chars` characters, the ones
+with the least hash in as many hash classes; about 150 MB of text at most. Prediction reads whole texts.
 
 The scores say which language, not whether any: they sum to a constant, so some language always has a fair one. Whether
 a text is in a learned language at all is told by its words' letter triples: the share that the language's training
@@ -15,6 +18,7 @@ texts have, against the share that these texts reach when one half of them is ju
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import cache
@@ -26,12 +30,10 @@ from pyspark.sql import functions as F
 
 from lectern.llm.common import per_text, sliced, staged
 
-CLASSES, ORDERS = 64, (1, 2, 3)
-#: Where the n-grams of each order start, and how many there are.
-STARTS = tuple(sum(CLASSES**m for m in ORDERS if m < n) for n in ORDERS)
-SPACE = sum(CLASSES**n for n in ORDERS)
-#: Bounds of the training sample: texts for each language, characters of a text, languages.
-PER_LANGUAGE, MAX_CHARS, MAX_LANGUAGES = 300, 8000, 64
+#: Letters with a class of their own at most, classes of further letters, and lengths of the n-grams.
+LETTERS, FURTHER, ORDERS = 223, 32, (1, 2, 3)
+#: Bounds of the training sample: texts for each language, characters of a text, texts in all, and texts a language at least.
+PER_LANGUAGE, MAX_CHARS, SAMPLE, LEAST_EACH = 300, 8000, 19_200, 8
 #: Landmarks in all, and the ridge penalty.
 LANDMARKS, PENALTY = 128, 1e-3
 #: A text is rejected if its language is undetermined, or if in each language the known share of its letter triples is
@@ -49,19 +51,30 @@ class Presence:
     """Which n-grams texts have, by a reused table with one place for each possible n-gram."""
 
     def __init__(self, letters: str) -> None:
+        further = FURTHER if len(letters) >= LETTERS else 0
+        self.classes = 1 + len(letters) + further
         self.table = np.zeros(0x110000, dtype=np.uint8)
-        for k, c in enumerate(letters[: CLASSES - 1]):
+        if further:
+            other = np.flatnonzero(kinds() == 1)
+            self.table[other] = 1 + len(letters) + other % further
+        for k, c in enumerate(letters):
             self.table[ord(c)] = k + 1
-        self.marks = np.zeros(SPACE, dtype=bool)
+        #: Where the n-grams of each order start.
+        self.starts = [sum(self.classes**m for m in ORDERS if m < n) for n in ORDERS]
+        self.marks = np.zeros(sum(self.classes**n for n in ORDERS), dtype=bool)
+        self.last: list[np.ndarray] = []
 
     def mark(self, text: str) -> np.ndarray:
+        """The table for one text; valid until the next call."""
+        for places in self.last:
+            self.marks[places] = False
         c = self.table[np.frombuffer(text.lower().encode("utf-32-le", "replace"), dtype=np.uint32)].astype(np.int32)
-        self.marks[:] = False
-        grams = c
-        for n, start in zip(ORDERS, STARTS, strict=True):
+        self.last, grams = [], c
+        for n, start in zip(ORDERS, self.starts, strict=True):
             if n > 1:
-                grams = grams[:-1] * CLASSES + c[n - 1 :]
-            self.marks[start + grams] = True
+                grams = grams[:-1] * self.classes + c[n - 1 :]
+            self.last.append(start + grams)
+            self.marks[self.last[-1]] = True
         return self.marks
 
 
@@ -172,17 +185,22 @@ class Model:
         return out
 
 
+def letters_of(samples: list[tuple[str, str]], languages: list[str], most: int = LETTERS) -> str:
+    """The letters with the largest share of texts that have them, in the language where that share is largest."""
+    best: dict[str, float] = {}
+    for lang in languages:
+        texts = [t for t, own in samples if own == lang]
+        for c, n in Counter(c for t in texts for c in set(t.lower()) if c.isalpha()).items():
+            best[c] = max(best.get(c, 0.0), n / len(texts))
+    return "".join(sorted(best, key=lambda c: (-best[c], c))[:most])
+
+
 def fit(samples: list[tuple[str, str]], landmarks: int = LANDMARKS, penalty: float = PENALTY) -> Model:
     """The model of (text, language) rows, in their order; the landmarks are spread evenly over the languages."""
     languages = sorted({lang for _, lang in samples})
     if not languages:
         return Model([], "", *[np.zeros((0, 0), dtype=np.float32)] * 4)
-    counts: dict[str, int] = {}
-    for text, _ in samples:
-        for c in set(text.lower()):
-            if c.isalpha():
-                counts[c] = counts.get(c, 0) + 1
-    letters = "".join(sorted(counts, key=lambda c: (-counts[c], c))[: CLASSES - 1])
+    letters = letters_of(samples, languages)
     presence = Presence(letters)
     chosen: list[int] = []
     of = {lang: [k for k, s in enumerate(samples) if s[1] == lang] for lang in languages}
@@ -214,10 +232,10 @@ def training_sample(df: DataFrame, id_col: str, text_col: str, lang_col: str, pe
     rows = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang"))
     rows = rows.where(F.col("id").isNotNull() & F.col("lang").isNotNull() & ~held_out("id") & F.length("text").between(20, max_chars))
     rows = rows.withColumn("h", F.xxhash64(F.col("id")))
+    # a row a label; the number of texts a label gives way before the sample outgrows its bound
+    labels = rows.select("lang").distinct().count()
+    per_language = max(LEAST_EACH, min(per_language, SAMPLE // max(1, labels)))
     least = staged(rows.groupBy("lang", F.pmod("h", F.lit(per_language)).alias("class")).agg(F.min("h").alias("h")).select("lang", "h"), "sample")
-    languages = [r.lang for r in least.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(MAX_LANGUAGES + 1).collect()]
-    if len(languages) > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} languages are labelled; the sample's bound is for {MAX_LANGUAGES}")
     # the stage's size is known, so the planner broadcasts it where it is small enough
     found = rows.join(least, ["lang", "h"]).groupBy("lang", "h").agg(F.min("text").alias("text"))
     return sorted(((r.text, r.lang) for r in found.collect()), key=lambda s: (s[1], hash_of(s[0])))

@@ -35,6 +35,33 @@ def test_scores_are_kernel_ridge_regression():
     assert np.allclose(got, want, atol=2e-3)
 
 
+def test_more_than_64_languages_and_scripts_of_many_letters():
+    import random
+
+    rnd = random.Random(4)
+    scripts = [(97, 123), (0x3B1, 0x3C9), (0x430, 0x44F), (0x5D0, 0x5EA), (0x628, 0x648), (0x905, 0x939), (0xAC00, 0xAE00), (0x4E00, 0x4F00)]
+    own = []
+    for k in range(72):
+        a, b = scripts[k % len(scripts)]
+        own.append([chr(rnd.randrange(a, b)) + chr(rnd.randrange(a, b)) + chr(rnd.randrange(a, b)) for _ in range(12)])
+    text = lambda k: " ".join(rnd.choice(own[k]) for _ in range(30))
+    samples = [(text(k), f"l{k:02}") for k in range(72) for _ in range(8)]
+    model = langid.fit(samples)
+    assert len(model.languages) == 72 and len(model.letters) == langid.LETTERS
+    for a, b in scripts[:6]:
+        assert sum(a <= ord(c) < b for c in model.letters) > 15
+    found = model.predict([text(k) for k in range(72)], langid.Presence(model.letters))
+    assert sum(lang == f"l{k:02}" for k, (lang, _) in enumerate(found)) > 0.9 * 72
+
+
+def test_over_64_labels_in_a_table(spark):
+    rows = [(k, "some words that are long enough " + "abcdefghij"[k % 10] * 5, f"l{k % 70}") for k in range(700)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    samples = langid.training_sample(df, "doc_id", "text", "lang")
+    assert len({lang for _, lang in samples}) == 70 and len(samples) <= langid.SAMPLE
+    assert langid.identify(df).count() == 700
+
+
 def test_undetermined_and_empty():
     model = langid.fit(SAMPLES)
     presence = langid.Presence(model.letters)
