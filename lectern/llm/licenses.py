@@ -21,7 +21,19 @@ from lectern.llm.common import per_text
 #: Phrases of the base scan and their labels.
 PHRASES = {"gnu general public license": "gpl", "apache license": "apache", "cc by": "cc-by", "mit license": "mit"}
 
-#: Wording of licenses and of the usual notices that name them. Fixed values but for the markup.
+#: What the two BSD licenses have in common. Fixed values but for the markup.
+_BSD_GRANT = """Redistribution and use in source and binary forms, with or without modification, are permitted provided that the
+    following conditions are met: <<optional>>1<<end>> Redistributions of source code must retain the above copyright notice, this list of
+    conditions and the following disclaimer. <<optional>>2<<end>> Redistributions in binary form must reproduce the above copyright notice,
+    this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution. """
+_BSD_DISCLAIMER = """THIS SOFTWARE IS PROVIDED BY <<var 1 12>> "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO,
+    THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL <<var 1 12>> BE
+    LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT
+    OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF
+    LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF
+    THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE"""
+
+#: Wording of licenses and of the usual notices that name them; those named -text are whole. Fixed values but for the markup.
 TEMPLATES = {
     "mit-notice": """<<any released|licensed|distributed|provided|available>> under the <<optional>>terms of the<<end>> MIT License""",
     "mit-text": """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated
@@ -51,10 +63,38 @@ TEMPLATES = {
     "cc-by-sa-notice": """<<any released|licensed|distributed|available>> under <<optional>>a<<end>> <<optional>>the<<end>> CC BY SA""",
     "cc-by-nc-notice": """<<any released|licensed|distributed|available>> under <<optional>>a<<end>> <<optional>>the<<end>> CC BY NC""",
     "isc-text": """Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted,
-        provided that the above copyright notice and this permission notice appear in all copies""",
-    "bsd-text": """Redistribution and use in source and binary forms, with or without modification, are permitted provided that the
-        following conditions are met <<optional>>1<<end>> Redistributions of source code must retain the above copyright notice,
-        this list of conditions and the following disclaimer""",
+        provided that the above copyright notice and this permission notice appear in all copies. THE SOFTWARE IS PROVIDED "AS IS"
+        AND <<var 1 12>> DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND
+        FITNESS. IN NO EVENT SHALL <<var 1 12>> BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES
+        WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION,
+        ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE""",
+    "bsd-2-clause-text": _BSD_GRANT + _BSD_DISCLAIMER,
+    "bsd-3-clause-text": _BSD_GRANT + """<<optional>>3<<end>> Neither the name of <<var 1 12>> nor the names of <<any its|their|the>> contributors may be used to
+        endorse or promote products derived from this software without specific prior written permission """ + _BSD_DISCLAIMER,
+    "zlib-text": """This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for
+        any damages arising from the use of this software. Permission is granted to anyone to use this software for any purpose,
+        including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions:
+        <<optional>>1<<end>> The origin of this software must not be misrepresented; you must not claim that you wrote the original
+        software. If you use this software in a product, an acknowledgment in the product documentation would be appreciated but is
+        not required. <<optional>>2<<end>> Altered source versions must be plainly marked as such, and must not be misrepresented as
+        being the original software. <<optional>>3<<end>> This notice may not be removed or altered from any source distribution""",
+    "bsl-1.0-text": """Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and
+        accompanying documentation covered by this license (the "Software") to use, reproduce, display, distribute, execute, and
+        transmit the Software, and to prepare derivative works of the Software, and to permit third-parties to whom the Software is
+        furnished to do so, all subject to the following: The copyright notices in the Software and this entire statement, including
+        the above license grant, this restriction and the following disclaimer, must be included in all copies of the Software, in
+        whole or in part, and all derivative works of the Software, unless such copies or derivative works are solely in the form of
+        machine-executable object code generated by a source language processor. THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF
+        ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE,
+        TITLE AND NON-INFRINGEMENT. IN NO EVENT SHALL THE COPYRIGHT HOLDERS OR ANYONE DISTRIBUTING THE SOFTWARE BE LIABLE FOR ANY
+        DAMAGES OR OTHER LIABILITY, WHETHER IN CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR
+        THE USE OR OTHER DEALINGS IN THE SOFTWARE""",
+    "mpl-2.0-header": """This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not
+        distributed with this file, You can obtain one at <<var 1 9>>""",
+    "lgpl-header": """it under the terms of the GNU <<any Lesser|Library>> General Public License as published by the Free Software Foundation
+        <<any either|version>>""",
+    "agpl-header": """it under the terms of the GNU Affero General Public License as published by the Free Software Foundation""",
+    "cc0-notice": """<<any released|licensed|distributed|available|dedicated>> under <<optional>>the<<end>> CC0 <<optional>>1.0<<end>>""",
 }
 
 #: All ASCII that isn't a letter or a digit parts words; A to Z become a to z.
@@ -159,7 +199,9 @@ class Scanner:
                 self.by_first.setdefault(word, []).append(label)
         self.phrases = [(p.encode().split(), label) for p, label in phrases.items()]
         # a text that has none of these words has no place for any template or phrase
-        self.needed = {max(a.mandatory, key=len) for a in self.automata.values()} | {max(p, key=len) for p, _ in self.phrases}
+        self.needed = {max(p, key=len) for p, _ in self.phrases}
+        for a in self.automata.values():
+            self.needed |= {max(a.mandatory, key=len)} if a.mandatory else a.first
 
     def spans(self, words: list[bytes]) -> Iterator[tuple[int, int, str]]:
         """(first word, end, label) of each accepted stretch."""

@@ -50,6 +50,28 @@ def test_templates(scanner):
     assert scanner.scan("Released under the MIT License")[6] == pytest.approx(4 / 5)
 
 
+def plain(label):
+    """A template's text with its optional parts, first choices and placeholders of names."""
+    text = re.sub(r"<<any ([^|>]*)[^>]*>>", r"\1", licenses.TEMPLATES[label].replace("<<optional>>", "").replace("<<end>>", ""))
+    return re.sub(r"<<var (\d+) \d+>>", lambda m: "name " * int(m[1]), text)
+
+
+@pytest.mark.parametrize("label", [k for k in licenses.TEMPLATES if k.endswith("-text")])
+def test_whole_texts_need_all_their_wording(scanner, label):
+    words = plain(label).split()
+    found = lambda ws: label in scanner.scan(" ".join(["before", *ws, "after"]))[5].split(",")
+    assert found(words)
+    optional = [k for k, w in enumerate(words) if w in ("1", "2", "3") or "next" in w or "paragraph" in w or "(including" in w or w == "the" and words[k + 1 : k + 2] == ["next"]]
+    for k in range(0, len(words), 7):
+        if k not in optional and words[k] != "name" and licenses.words_of(words[k]):
+            assert not found([*words[:k], "changed", *words[k + 1 :]])
+
+
+def test_template_without_plain_wording():
+    scanner = licenses.Scanner({"odd": "<<any alpha|beta>> <<any one|two>>"}, {})
+    assert scanner.scan("x beta two y")[5] == "odd" and scanner.scan("beta three")[5] == "" and scanner.scan(None)[0] == 0
+
+
 def test_automaton_against_backtracking():
     import itertools
 
