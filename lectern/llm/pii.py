@@ -11,10 +11,13 @@ Null and empty texts have no spans.
 
 from __future__ import annotations
 
+import bisect
 import hashlib
+import itertools
 import random
 import re
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -24,7 +27,7 @@ from lectern.llm.common import per_text, sliced
 
 KINDS = ("email", "ip", "card", "phone")
 #: Kinds that the field may add beside the patterns' matches.
-ADDED = ("phone", "secret")
+ADDED = ("email", "phone", "secret")
 
 #: The patterns of the base search, written so that no place is tried twice.
 _DOMAIN = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -305,6 +308,12 @@ def train(rows: list[tuple[list[str], list[str]]] | None = None, steps: int = 12
     return Field(index, theta[0], theta[1] + hard)
 
 
+@cache
+def bundled() -> Field:
+    """The field of the bundled table, trained once in a process."""
+    return train()
+
+
 def candidates(text: str) -> Iterator[tuple[int, int, str, str]]:
     """(start, end, word before, word after) of each word with a digit or an @; neighbours by their 40 nearest characters."""
     for m in _CANDIDATE.finditer(text):
@@ -359,15 +368,25 @@ def spans_of(texts: list[str | None], field: Field) -> list[tuple[list, list]]:
             k = last + 1
     out = []
     for base, added in zip(found, more, strict=True):
-        held = sorted((a, b) for _, a, b in base)
-        free = [(k, a, b) for k, a, b in added if a < b and not _overlaps(held, a, b)]
+        held = Held(base)
+        free = [(k, a, b) for k, a, b in added if a < b and not held.overlaps(a, b) and (k != "email" or "@" in texts[len(out)][a + 1 : b - 1])]
         key = lambda s: (rank[s[0]], s[1])
         out.append((sorted(base, key=key), sorted(base + free, key=key)))
     return out
 
 
-def _overlaps(held: list[tuple[int, int]], a: int, b: int) -> bool:
-    return any(x < b and a < y for x, y in held)
+class Held:
+    """Spans, which may overlap each other, in ascending order of start, with the largest end up to each."""
+
+    def __init__(self, spans: list[tuple[str, int, int]]) -> None:
+        pairs = sorted((a, b) for _, a, b in spans)
+        self.starts = [a for a, _ in pairs]
+        self.ends = list(itertools.accumulate((b for _, b in pairs), max))
+
+    def overlaps(self, a: int, b: int) -> bool:
+        """Whether any of the spans that start before b ends after a."""
+        before = bisect.bisect_left(self.starts, b)
+        return before > 0 and self.ends[before - 1] > a
 
 
 def listed(spans: list[tuple[str, int, int]]) -> str:
@@ -376,7 +395,7 @@ def listed(spans: list[tuple[str, int, int]]) -> str:
 
 def detect(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", field: Field | None = None) -> DataFrame:
     """One row per row of df: counts by kind, base_sha256 and the list of all spans (kind:start:end in code points)."""
-    field = field or train()
+    field = field or bundled()
 
     def row(base: list, spans: list) -> tuple:
         return (*(sum(k == kind for k, _, _ in base) for kind in KINDS), hashlib.sha256(listed(base).encode()).hexdigest(), listed(spans))
@@ -398,7 +417,7 @@ def redacted(text: str | None, spans: list[tuple[str, int, int]]) -> str | None:
 
 def redact(df: DataFrame, text_col: str = "text", field: Field | None = None, length_col: str | None = None) -> DataFrame:
     """df with the found spans taken out of its text; all other columns pass as they are, but for the length column."""
-    field = field or train()
+    field = field or bundled()
     names = df.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

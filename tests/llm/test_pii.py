@@ -75,6 +75,38 @@ def test_field_adds_and_leaves_alone(field):
     assert found[-2:] == [[], [("phone", "+1 (569) 555-6633")]] or found[-1][0][0] in ("phone", "card")
 
 
+def test_overlaps_against_all_pairs():
+    rnd = random.Random(2)
+    for _ in range(300):
+        spans = [("ip", a, a + rnd.randrange(1, 9)) for a in (rnd.randrange(60) for _ in range(rnd.randrange(9)))]
+        held = pii.Held(spans)
+        for _ in range(20):
+            a = rnd.randrange(60)
+            b = a + rnd.randrange(1, 9)
+            assert held.overlaps(a, b) == any(x < b and a < y for _, x, y in spans)
+
+
+def test_many_spans_in_one_text(field):
+    import time
+
+    def seconds(n):
+        text = " ".join(f"a{k}@b.org key=be8a8e7152a5c568b612dc7f4042dd95661{k:05}" for k in range(n))
+        began = time.perf_counter()
+        ((base, spans),) = pii.spans_of([text], field)
+        assert len(base) == n and len(spans) >= n
+        return time.perf_counter() - began
+
+    seconds(500)
+    assert seconds(16_000) < 40 * max(seconds(1_000), 0.02)
+
+
+def test_addresses_that_the_patterns_miss(field):
+    text = "mail hans.24@müllerbach.example.com or @someone or 4@ and here"
+    ((base, spans),) = pii.spans_of([text], field)
+    assert base == [] and {k for k, _, _ in spans} <= {"email"}
+    assert all("@" in text[a + 1 : b - 1] for _, a, b in spans)
+
+
 def test_whole_table(spark, sf_dir, field):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     rank = list(PLAIN)
