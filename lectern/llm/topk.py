@@ -32,7 +32,9 @@ FEW = 0.02
 class Index:
     """Posting segments of one block of rows: for each component the rows by level, in runs of one array.
 
-    asked and rescored count the queries and the rows that were scored exactly for them.
+    A component's segments stand in ascending order of value, so those with the highest impact for a query are the last
+    ones where its component is positive, and the first ones where it is negative: what a walk has taken of a component
+    is one run. asked and rescored count the queries and the rows that were scored exactly for them.
     """
 
     def __init__(self, ids: np.ndarray, vectors: np.ndarray) -> None:
@@ -40,49 +42,57 @@ class Index:
         self.ids, self.vectors = ids[order], vectors[order]
         self.asked = self.rescored = 0
         n, dims = self.vectors.shape
-        # components by rows: each component's rows in ascending order of value, cut where the level changes
         values = np.ascontiguousarray(self.vectors.T)
-        rows = np.argsort(values, axis=1, kind="stable").astype(np.int32)
+        rows = np.argsort(values, axis=1, kind="stable")
         values = np.take_along_axis(values, rows, axis=1).ravel()
         self.flat = rows.ravel()
         level, place = np.floor_divide(values, LEVEL), np.arange(dims * n)
         new = np.ones(dims * n, dtype=bool)
         new[1:] = (level[1:] != level[:-1]) | (place[1:] % max(n, 1) == 0)
-        self.start = np.flatnonzero(new)
-        self.end = np.append(self.start[1:], dims * n)[: len(self.start)]
-        self.dim = self.start // max(n, 1)
-        self.least, self.most = values[self.start], values[self.end - 1]
+        start = np.flatnonzero(new)
+        end = np.append(start[1:], dims * n)[: len(start)]
+        self.size, self.dim = end - start, start // max(n, 1)
+        self.least, self.most = values[start], values[end - 1]
+        # where each segment ends among the postings, its bounds at each posting, and each component's run of segments
+        self.edge = np.append(start, dims * n)
+        self.low, self.high = np.repeat(self.least, self.size), np.repeat(self.most, self.size)
+        self.first = np.searchsorted(self.dim, np.arange(dims + 1))
 
     def exact(self, query: np.ndarray, rows: np.ndarray) -> np.ndarray:
         return (self.vectors[rows] @ query).astype(np.int64)
 
     def possible(self, query: np.ndarray, k: int, own: int | None) -> np.ndarray:
         """The rows that the bounds leave as possible members of the k best."""
-        n = len(self.ids)
-        live = np.flatnonzero(query[self.dim])
-        dim, size = self.dim[live], (self.end - self.start)[live]
-        impact = np.maximum(query[dim] * self.least[live], query[dim] * self.most[live])
-        order = np.argsort(-impact, kind="stable")
-        reached = np.cumsum(size[order])
+        n, dims = self.vectors.shape
+        live = np.flatnonzero(query)
+        segments = np.flatnonzero(query[self.dim])
+        at = query[self.dim[segments]]
+        impact = np.where(at > 0, at * self.most[segments], at * self.least[segments])
+        order = segments[np.argsort(-impact, kind="stable")]
+        reached = np.cumsum(self.size[order])
         own_rows = np.flatnonzero(self.ids == own) if own is not None else np.array([], dtype=int)
-        taken, have = 0, np.zeros(n)
-        seen = np.zeros((n, len(query)))
+        have, parts, taken = np.zeros(n), np.zeros(n, dtype=np.int64), np.zeros(dims, dtype=np.int64)
         members = np.arange(n)
         for share in STEPS:
-            upto = int(np.searchsorted(reached, share * reached[-1], side="left")) + 1
-            now = order[taken:upto]
-            taken = max(taken, upto)
-            if len(now):
-                sizes = size[now]
-                at = np.arange(int(sizes.sum())) + np.repeat(self.start[live[now]] - (np.cumsum(sizes) - sizes), sizes)
-                rows = self.flat[at]
-                have += np.bincount(rows, weights=np.repeat(impact[now], sizes), minlength=n)
-                seen[rows, np.repeat(dim[now], sizes)] = 1.0
-            rest = np.full(len(query), -np.inf)
-            np.maximum.at(rest, dim[order[taken:]], impact[order[taken:]])
-            rest[np.isinf(rest)] = 0.0
-            # whole numbers below 2 ** 53: the sums are exact whatever their order
-            bound = have + rest.sum() - seen @ rest
+            upto = int(np.searchsorted(reached, share * reached[-1])) + 1
+            counts = np.bincount(self.dim[order[:upto]], minlength=dims)
+            rows, scores = [], []
+            for d in np.flatnonzero(counts > taken):
+                up = query[d] > 0
+                a, b = (self.first[d + 1] - counts[d], self.first[d + 1] - taken[d]) if up else (self.first[d] + taken[d], self.first[d] + counts[d])
+                run = slice(self.edge[a], self.edge[b])
+                rows.append(self.flat[run])
+                scores.append((self.high if up else self.low)[run] * query[d])
+            taken = counts
+            if rows:
+                hit = np.concatenate(rows)
+                have += np.bincount(hit, weights=np.concatenate(scores), minlength=n)
+                parts += np.bincount(hit, minlength=n)
+            left = live[counts[live] < self.first[live + 1] - self.first[live]]
+            rest = np.where(query[left] > 0, self.most[np.maximum(self.first[left + 1] - counts[left] - 1, 0)], self.least[np.minimum(self.first[left] + counts[left], len(self.least) - 1)]) * query[left]
+            # a row lacks some of the components that are left; no choice of so many has a larger sum than the largest
+            most = np.concatenate([[0.0], np.cumsum(np.sort(rest)[::-1])])
+            bound = have + most[len(live) - parts]
             bound[own_rows] = -np.inf
             top = np.argpartition(-bound, 4 * k)[: 4 * k]
             top = top[bound[top] > -np.inf]
