@@ -6,7 +6,6 @@ Those that fit something have no SQL; they run on the weekly features of the ben
 from __future__ import annotations
 
 import dataclasses
-from datetime import date
 from functools import reduce
 
 import numpy as np
@@ -15,23 +14,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lectern.catalog import build, register, rounded, table_sql
-from lectern.catalog_weekly import _SCORED, BUCKETS, CENTERS, KEY, SEED, Run, contract_query, pick, query, scaled, scored
+from lectern.catalog_weekly import _SCORED, BUCKETS, CENTERS, KEY, SEED, Run, contract_query, query, scaled, scored
 from lectern.contract import manifest as mf
-from lectern.contract import schema, validate
-from lectern.model import bars, gates, guards, selection, wide
-from lectern.model import calibration as cal
+from lectern.contract import schema
+from lectern.model import bars, wide
 from lectern.model import kernels as kn
-from lectern.model.assignment import fit_typical, rank_labels
-from lectern.model.bundle import Bundle
-from lectern.model.measures import SOURCES, Block, Measures, fit_measures, layout, scores
-from lectern.model.settings import LaneSettings, Thresholds, render_thresholds, resolve_feature_set
-from lectern.model.surface import fit_surface
+from lectern.model.assignment import rank_labels
+from lectern.model.measures import SOURCES, Block, Measures, layout, scores
+from lectern.model.settings import LaneSettings, Thresholds
 from lectern.operators import checks, daily
 from lectern.plans import panel as pn
 from lectern.plans import weekly
-from lectern.plans.buckets import completeness
 from lectern.session import scratch_dir
-from lectern.sources import cohort, demo
+from lectern.sources import cohort
 from lectern.sources.testdata import delivery, manifest, sql
 
 EASY = Thresholds(selection_perturbation_draws=3)
@@ -51,11 +46,9 @@ def _counted(tables: dict[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, (tables[t].agg(F.lit(t).alias("table_name"), F.count(F.lit(1)).alias("n")) for t in schema.BY_NAME))
 
 
-for _id in ("src_1", "src_2"):
-    contract_query(_id, _COUNTS)(_counted)
+contract_query("src_2", _COUNTS)(_counted)
 
 
-@register("src_8", table_sql("reader_channel_day"))
 @register("snk_1", table_sql("reader_channel_day"))
 def snk_1(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = f"{scratch_dir(spark)}/reader_channel_day.parquet"
@@ -64,20 +57,7 @@ def snk_1(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 register("srt_1", table_sql("reader_channel_day"))(lambda spark, sf_dir: rounded(build(spark, sf_dir)["reader_channel_day"].orderBy(*daily.OUTPUTS["reader_channel_day"].key)))
-register("snk_5", table_sql("reader_channel_day"))(lambda spark, sf_dir: rounded(build(spark, sf_dir)["reader_channel_day"]))
-register("src_9")(lambda spark, sf_dir: rounded(daily.context(demo.build(spark), demo.manifest())["reader_channel_day"]))
 register("src_10")(lambda spark, sf_dir: cohort.build(spark, cohort.Cohort(readers=30, weeks=4))["reader_event"].groupBy("reader_id", "channel").agg(F.count(F.lit(1)).alias("n")))
-register("src_4")(lambda spark, sf_dir: frame(spark, [(k, str(x)) for k, x in mf.as_dict(mf.parse(mf.as_dict(manifest()))).items()], "key string, value string"))
-register("src_5")(lambda spark, sf_dir: frame(spark, [(k, str(x)) for k, x in mf.as_dict(manifest()).items()], "key string, value string"))
-register("src_6")(lambda spark, sf_dir: frame(spark, list(BUCKETS.bucket_of.items()), "section string, bucket string"))
-for _id in ("src_7", "misc_4"):
-    register(_id)(lambda spark, sf_dir: frame(spark, [(x,) for x in render_thresholds().splitlines() if x], "line string"))
-
-
-@register("snk_4")
-def snk_4(spark: SparkSession, sf_dir: str) -> DataFrame:
-    plans = {n: df._jdf.queryExecution().optimizedPlan().toString() for n, df in daily.outputs(build(spark, sf_dir)).items()}
-    return frame(spark, list(plans.items()), "table_name string, plan string")
 
 
 # --- projections, orders and scalar functions ---
@@ -96,41 +76,10 @@ contract_query("fn_24", "SELECT event_id, nullif(list_id, 'lst-0') AS list_id, r
 register("fn_23", "SELECT event_id, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events")(lambda spark, sf_dir: spark.read.parquet(f"{sf_dir}/events.parquet").select("event_id", F.get_json_object("props", "$.k").cast("int").alias("k")))
 
 
-@query("fn_20", "fe_15")
-def fn_20(r: Run) -> DataFrame:
-    return frame(r.intervals.sparkSession, sorted(guards.refused_columns(r.features.columns).items()), "column string, rule string")
-
-
 # --- validator findings and overridden builds ---
 
 
-def _findings(change) -> DataFrame:  # noqa: ANN001
-    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        m, tables = change(manifest(), delivery(spark, sf_dir))
-        rows = [(f.table, f.code, f.column, f.rows) for t in validate.validate_tables(tables, m) for f in t.findings]
-        return frame(spark, rows, "table_name string, code string, column string, n long")
-
-    return run
-
-
 _gone = lambda m, *names: dataclasses.replace(m, optional_inputs=m.optional_inputs | {n: mf.Availability("not_deployed") for n in names})
-register("val_1")(_findings(lambda m, t: (m, {k: df for k, df in t.items() if k not in ("content", "email_click")})))
-register("val_2")(_findings(lambda m, t: (_gone(m, "email_open"), t)))
-register("val_3")(_findings(lambda m, t: (m, t | {"content": t["content"].drop("published_ts").withColumn("headline", F.lit("x")).withColumn("scroll_depth", F.lit(1))})))
-register("val_4")(_findings(lambda m, t: (m, t | {"reader_event": t["reader_event"].withColumn("event_ts", F.col("event_ts").cast("timestamp_ntz")), "email_open": t["email_open"].withColumn("event_ts", F.lit("x"))})))
-register("val_14")(lambda spark, sf_dir: frame(spark, [(t.name, f.name, schema.compatible(f.type, df.schema[f.name].dataType)) for t in schema.TABLES for df in [delivery(spark, sf_dir)[t.name]] for f in t.fields], "table_name string, field string, compatible boolean"))
-
-
-@register("val_13")
-def val_13(spark: SparkSession, sf_dir: str) -> DataFrame:
-    report = validate.Report("tables", "1.0.0", None, validate.validate_tables(delivery(spark, sf_dir), manifest()))
-    return frame(spark, [(x,) for x in report.render().splitlines()], "line string")
-
-
-@register("val_15")
-def val_15(spark: SparkSession, sf_dir: str) -> DataFrame:
-    sets = [resolve_feature_set(_gone(manifest(), *names)) for names in ((), ("email_click",), ("email_open", "community_action"))]
-    return frame(spark, [(x.id, ",".join(x.kept_blocks), ",".join(sorted(x.dropped))) for x in sets], "id string, kept string, dropped string")
 
 
 def _summed(c: daily.Context) -> DataFrame:
@@ -139,7 +88,6 @@ def _summed(c: daily.Context) -> DataFrame:
     return daily.reader_channel_day(c).drop("sessions").join(wrong, key)
 
 
-@register("chk_9", sql("SELECT reader_id, channel, local_date, emitted_sessions, distinct_sessions_day AS expected_sessions FROM (SELECT reader_id, channel, local_date, sum(sessions)::BIGINT AS emitted_sessions, max(distinct_sessions_day) AS distinct_sessions_day FROM reader_content_day GROUP BY ALL) WHERE emitted_sessions <> distinct_sessions_day"))
 @register("chk_10", sql("SELECT reader_id, channel, local_date, emitted_sessions, distinct_sessions_day AS expected_sessions FROM (SELECT reader_id, channel, local_date, sum(sessions)::BIGINT AS emitted_sessions, max(distinct_sessions_day) AS distinct_sessions_day FROM reader_content_day GROUP BY ALL) WHERE emitted_sessions <> distinct_sessions_day"))
 def chk_10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return checks.sessions_off(daily.context(delivery(spark, sf_dir), manifest(), {"reader_channel_day": _summed}))
@@ -172,26 +120,6 @@ def ml_2(r: Run) -> DataFrame:
     return labelled(r, keys, kn.ward(x, 3))
 
 
-@query("ml_4")
-def ml_4(r: Run) -> DataFrame:
-    keys, x = matrix(r)
-    return labelled(r, keys, kn.matched(kn.champion(x, 3, 4)[0].labels, kn.ward(x, 3)))
-
-
-@query("ml_3", "ml_5", "ml_6", "ml_7", "ml_10")
-def ml_5(r: Run) -> DataFrame:
-    _, x = matrix(r)
-    best, report, agreement, alike = selection.screen(x, 3, 4, EASY)
-    values = dataclasses.asdict(report) | {"cross_algorithm_ari": agreement, "bar": EASY.bar(3), "alike_centroids": alike, "silhouette": kn.silhouette(x, best.labels)}
-    return frame(r.intervals.sparkSession, [(k, float(v)) for k, v in values.items()], "statistic string, value double")
-
-
-@query("ml_8", "ml_11", "srt_4")
-def ml_11(r: Run) -> DataFrame:
-    spark = r.intervals.sparkSession
-    return spark.createDataFrame(selection.select(selection.sweep(spark, matrix(r)[1], (3, 4), EASY, 3), EASY)[1])
-
-
 @register("ml_9", "SELECT s::INTEGER AS successes, round(greatest(0, (p + zz / 2 - 1.645::DOUBLE * sqrt((p * (1 - p) + zz / 4) / 50)) / (1 + zz)), 6) AS lower_bound FROM (SELECT s, s / 50.0::DOUBLE AS p, 1.645::DOUBLE * 1.645::DOUBLE / 50 AS zz FROM range(51) t(s))")
 def ml_9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(frame(spark, [(s, float(kn.wilson_lower(s, 50))) for s in range(51)], "successes int, lower_bound double"))
@@ -215,48 +143,6 @@ _M = {
 query("ml_17", body="SELECT reader_id, as_of_week_end, " + ", ".join(f"round({x}, 6) AS {n}" for n, x in _M.items()) + " FROM features")(lambda r: r.features.select(*KEY, *(c.alias(n) for n, c in scores(GIVEN).items())))
 
 
-def measured(r: Run) -> tuple[Measures, np.ndarray, kn.KMeans, DataFrame]:
-    from lectern.plans.lane import fit_rows
-
-    rows = fit_rows(pn.eligible(r.features), None, SEED)
-    found = rows.select(F.array(*scaled().values()).alias("x"), F.array(*(F.col(SOURCES[s]).cast("double") for s in _SIGNALS)).alias("y")).collect()
-    x, y = np.array([f.x for f in found]), np.array([f.y for f in found])
-    best = kn.champion(x, 3, 3)[0]
-    return fit_measures(y, best.labels, _BLOCKS, "testdata"), x, best, rows
-
-
-@query("ml_16")
-def ml_16(r: Run) -> DataFrame:
-    m = measured(r)[0]
-    return frame(r.intervals.sparkSession, [(s, m.center[s], m.scale[s], x, m.eta_sq[s]) for s, x in zip(m.m1.signals, m.m1.loadings, strict=True)], "signal string, center double, scale double, loading double, eta_sq double")
-
-
-@query("ml_15", "ml_22", "snk_3", "fe_14")
-def ml_22(r: Run) -> DataFrame:
-    m, _, _, rows = measured(r)
-    surface = fit_surface(rows, LANE.surface)
-    found = rows.select(surface.vector().alias("x")).collect()
-    x = np.array([f.x for f in found])
-    best = kn.champion(x, 3, 3)[0]
-    b = Bundle("testdata", date.today().isoformat(), LANE.feature_version, surface, best.centers, rank_labels(best.centers), fit_typical(x, best.centers), {"rule": pn.RULE, "seed": SEED}, BUCKETS.version, {k: list(p) for k, p in BUCKETS.buckets.items()}, m)
-    again = Bundle.from_json(b.to_json())
-    again.require_lineage(LANE.feature_version)
-    return frame(r.intervals.sparkSession, [(again.model_version, again.lineage, again.to_json() == b.to_json())], "model_version string, lineage string, same boolean")
-
-
-register("ml_18")(lambda spark, sf_dir: frame(spark, [(e, c, b, s) for e in (True, False) for c in (True, False) for b, own in layout(e, c).items() for s in own], "email boolean, community boolean, block string, signal string"))
-
-
-@query("ml_20")
-def ml_20(r: Run) -> DataFrame:
-    shares = {x.section: x.share for x in weekly.section_shares(r.tables["reader_section_day"], r.weeks[-1:], r.settings).collect()}
-    resolved = [x.resolved_view_share for x in weekly.resolved_share(r.features).collect()]
-    stale = weekly.stale_sources(weekly.latest_dates(r.tables), r.weeks[-1])
-    found = gates.data_gates(duplicates=0, stale=stale, resolved_share=float(np.mean(resolved or [0.0])), buckets=completeness(BUCKETS, shares), finite=True, variance_ok=True, g=EASY)
-    found += gates.temporal_gates(retention=None, similarity=None, g=EASY)
-    return r.intervals.sparkSession.createDataFrame(pd.DataFrame(found))
-
-
 @query("ml_21")
 def ml_21(r: Run) -> DataFrame:
     spark = r.intervals.sparkSession
@@ -264,7 +150,7 @@ def ml_21(r: Run) -> DataFrame:
 
 
 def fitted_wide(r: Run) -> tuple[wide.Wide, DataFrame]:
-    rows = pn.eligible(r.features)
+    rows = pn.eligible(r.written)
     return wide.fit_wide(rows, weekly.anchors_of(r.settings, True, True), BUCKETS.names), rows
 
 
@@ -288,21 +174,3 @@ def fe_21(r: Run) -> DataFrame:
     shares = wide.weights_of(LANE.weights, w.membership)
     found = wide.contributions(wide.weighted(m, w.membership, shares), w.membership)
     return frame(r.intervals.sparkSession, [(b, shares[b], x) for b, x in found.items()], "block string, weight double, contribution double")
-
-
-@query("misc_1")
-def misc_1(r: Run) -> DataFrame:
-    features = r.features
-    c = cal.fit(pn.eligible(features), {"w": F.col("web_views_28d")}, with_values=True)["w"]
-    x = F.col("web_views_28d")
-    return features.select(*KEY, x.alias("web_views_28d_raw"), c.z(x, cal.Z_CLIP).alias("web_views_28d_z"), c.pct(x).alias("web_views_28d_pct"))
-
-
-@query("misc_2", body=pick([*KEY, "web_views_28d"], "features", "WHERE NOT no_recent_flag"))
-def misc_2(r: Run) -> DataFrame:
-    return r.features.where("NOT no_recent_flag").select(*KEY, "web_views_28d")
-
-
-register("misc_5")(lambda spark, sf_dir: frame(spark, list(EASY.with_bars({2: 0.5, 3: 0.4}).cross_algorithm_ari_by_k.items()), "k int, bar double"))
-register("misc_10")(lambda spark, sf_dir: frame(spark, [(x,) for x in LANE.describe().splitlines()], "line string"))
-

@@ -6,7 +6,7 @@ import json
 from dataclasses import dataclass, field
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lectern.model.assignment import Typical, assign, typicality
@@ -65,6 +65,14 @@ class Bundle:
         with open(path, "w", encoding="utf-8") as f:
             f.write(self.to_json())
 
+    def write(self, spark: SparkSession, path: str) -> None:
+        """As one text file through Spark, in whatever store the path is."""
+        spark.createDataFrame([(self.to_json(),)], "text string").coalesce(1).write.mode("overwrite").text(path)
+
+    @classmethod
+    def read(cls, spark: SparkSession, path: str) -> Bundle:
+        return cls.from_json(spark.read.text(path, wholetext=True).first().value)
+
     @classmethod
     def load(cls, path: str) -> Bundle:
         with open(path, encoding="utf-8") as f:

@@ -115,9 +115,13 @@ def contingency(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 def adjusted_rand(a: np.ndarray, b: np.ndarray) -> float:
     if len(a) != len(b):
         raise ValueError("labelings of different lengths")
-    table = contingency(a, b)
+    return adjusted_rand_of(contingency(a, b))
+
+
+def adjusted_rand_of(table: np.ndarray) -> float:
+    """The index from the rows that each pair of labels has, which is all that it depends on."""
     pairs = lambda v: (v * (v - 1) / 2).sum()
-    both, rows, cols, every = pairs(table), pairs(table.sum(1)), pairs(table.sum(0)), len(a) * (len(a) - 1) / 2
+    both, rows, cols, every = pairs(table), pairs(table.sum(1)), pairs(table.sum(0)), pairs(table.sum())
     expected, most = (rows * cols / every if every else 0.0), (rows + cols) / 2
     return 1.0 if most == expected else float((both - expected) / (most - expected))
 

@@ -6,11 +6,13 @@ from dataclasses import asdict, dataclass
 from functools import reduce
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lectern.contract import vocabulary as v
 from lectern.model.kernels import first_component
+from lectern.operators.ranks import ranked
+from lectern.session import staged
 
 #: Signals and the weekly features they are read from. Fixed values.
 SOURCES = {f"{c}_views": f"{c}_views_28d" for c in v.CHANNELS} | {
@@ -96,6 +98,46 @@ def fit_measures(x: np.ndarray, labels: np.ndarray, blocks: dict[str, tuple[str,
     return Measures(model_version, dict(zip(signals, map(float, x.mean(0)), strict=True)), dict(zip(signals, map(float, scale), strict=True)), Block(signals, tuple(map(float, load)), turn, explained, 0.0, 1.0), eta_sq, {b: r / whole if whole else 0.0 for b, r in raw.items()}, fitted)
 
 
+def fit_measures_rows(rows: DataFrame, label: str, blocks: dict[str, tuple[str, ...]], model_version: str) -> Measures:
+    """What fit_measures() gives for all rows of a frame with the weekly features and a label, from two aggregations.
+
+    The components are those of the correlation matrix; a component's scores have mean 0 and its eigenvalue as variance.
+    """
+    signals = tuple(s for b in blocks.values() for s in b)
+    n, pairs = len(signals), [(i, j) for i in range(len(signals)) for j in range(i + 1, len(signals))]
+    x = [F.coalesce(signal(s), F.lit(0.0)) for s in signals]
+    whole = rows.agg(F.count(F.lit(1)).alias("n"), *(f(c).alias(f"{k}{i}") for i, c in enumerate(x) for k, f in (("m", F.avg), ("s", F.stddev_pop))), *(F.corr(x[i], x[j]).alias(f"c{i}_{j}") for i, j in pairs)).first()
+    if whole.n < 2:
+        raise MeasuresError(f"{whole.n} rows for {n} signals")
+    mean, std = (np.array([whole[f"{k}{i}"] for i in range(n)]) for k in "ms")
+    r = np.diag((std > 0).astype(float))
+    for i, j in pairs:
+        c = whole[f"c{i}_{j}"]
+        r[i, j] = r[j, i] = c if c is not None and np.isfinite(c) and std[i] > 0 and std[j] > 0 else 0.0
+    each = rows.groupBy(label).agg(F.count(F.lit(1)).alias("n"), *(F.avg(c).alias(f"m{i}") for i, c in enumerate(x))).collect()
+    between = sum(g.n * (np.array([g[f"m{i}"] for i in range(n)]) - mean) ** 2 for g in each)
+    total = std**2 * whole.n
+    eta = np.where(total > 0, between / np.where(total > 0, total, 1), 0.0)
+    eta_sq = dict(zip(signals, map(float, eta), strict=True))
+
+    def component(at: list[int]) -> tuple[np.ndarray, float, float, float]:
+        """Loadings that sum to no less than 0, explained share, the turn, and the variance of the scores."""
+        part = r[np.ix_(at, at)]
+        values, vectors = np.linalg.eigh(part)
+        load = vectors[:, -1]
+        turn = 1.0 if load.sum() >= 0 else -1.0
+        return load * turn, float(values[-1] / values.sum()) if values.sum() else 0.0, turn, float(max(values[-1], 0.0))
+
+    load, explained, turn, _ = component(list(range(n)))
+    raw = {b: sum(eta_sq[s] for s in own) for b, own in blocks.items()}
+    all_raw, fitted = sum(raw.values()), {}
+    for b, own in blocks.items():
+        loads, share, sign, variance = component([signals.index(s) for s in own]) if len(own) > 1 else (np.array([1.0]), 1.0, 1.0, float(std[signals.index(own[0])] > 0))
+        fitted[b] = Block(own, tuple(map(float, loads)), sign, share, 0.0, variance**0.5 or 1.0)
+    scale = np.where(std == 0, 1.0, std)
+    return Measures(model_version, dict(zip(signals, map(float, mean), strict=True)), dict(zip(signals, map(float, scale), strict=True)), Block(signals, tuple(map(float, load)), turn, explained, 0.0, 1.0), eta_sq, {b: v / all_raw if all_raw else 0.0 for b, v in raw.items()}, fitted)
+
+
 def signal(name: str) -> Column:
     return F.col(SOURCES[name]).cast("double")
 
@@ -113,13 +155,11 @@ def scores(m: Measures) -> dict[str, Column]:
 def with_percentile(df: DataFrame, score: str, name: str, week: str = "as_of_week_end") -> DataFrame:
     """Percentile of a score within its week, ties at their mean rank, of values rounded half to even.
 
-    Only values and how many rows have each are ranked, so a week is never sorted row by row in one task.
+    Only values and how many rows have each are ranked, in ranges, so no task sorts a whole week.
     """
     rows = df.withColumn("_q", F.bround(F.col(score), QUANTUM))
-    sizes = rows.groupBy(week, "_q").agg(F.count("_q").alias("_n"))
-    upto = F.sum("_n").over(Window.partitionBy(week).orderBy("_q").rowsBetween(Window.unboundedPreceding, 0))
-    total = F.sum("_n").over(Window.partitionBy(week))
-    ranks = sizes.select(F.col(week).alias("_w"), F.col("_q").alias("_v"), ((upto - (F.col("_n") - 1) / 2) / total * 100).alias(name)).where("_v IS NOT NULL")
+    sizes = staged(rows.where("_q IS NOT NULL").groupBy(week, "_q").agg(F.count(F.lit(1)).alias("_n")), "sizes")
+    ranks = ranked(sizes, [week], "_q", "_n").select(F.col(week).alias("_w"), F.col("_q").alias("_v"), ((F.col("_before") + (F.col("_n") + 1) / 2) / F.col("_total") * 100).alias(name))
     return rows.join(ranks, (F.col(week) == F.col("_w")) & (F.col("_q") == F.col("_v")), "left").drop("_q", "_w", "_v")
 
 

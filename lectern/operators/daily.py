@@ -16,8 +16,11 @@ from lectern.contract import schema
 from lectern.contract import vocabulary as v
 from lectern.contract.manifest import Manifest
 from lectern.functions.columns import effective_sections, is_view, local_date
+from lectern.session import staged
 
 EVENTS, SESSIONS = "event_layer", "session_layer"
+#: Tables that several others, or several weekly features, are made of, each after those it is made of.
+SHARED = ("reader_content_day", "reader_channel_day", "reader_email_day", "reader_community_day")
 
 
 class BuildError(ValueError):
@@ -54,12 +57,23 @@ class Context:
     manifest: Manifest
     builders: dict[str, Callable[[Context], DataFrame]] = field(default_factory=dict)
     built: dict[str, DataFrame] = field(default_factory=dict)
+    written: set[str] = field(default_factory=set)
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self.built:
             self.built[name] = self.builders[name](self)
         return self.built[name]
 
+    def stage(self, *names: str) -> Context:
+        """Writes tables that several others or several plans use, in the given order, so that each is computed once.
+        Tables that were asked for before are built anew from the written ones."""
+        for name in names:
+            if name in self.builders:
+                self.built = {n: df for n, df in self.built.items() if n in self.written}
+                self.built[name] = staged(self[name], name)
+                self.written.add(name)
+        return self
+
 
 def event_layer(c: Context) -> DataFrame:
     """Events with their local day, their content's metadata and whether they are views. Content is joined by its unique

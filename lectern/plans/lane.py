@@ -14,15 +14,16 @@ from pyspark.sql import functions as F
 from lectern.contract.manifest import Manifest
 from lectern.model import gates as gt
 from lectern.model import selection
-from lectern.model.assignment import fit_typical, rank_labels
+from lectern.model.assignment import assign, fit_typical, rank_labels
 from lectern.model.bundle import Bundle, cluster_profile, score, score_measures
-from lectern.model.measures import SOURCES, fit_measures, layout
+from lectern.model.measures import fit_measures_rows, layout
 from lectern.model.settings import LaneSettings
 from lectern.model.surface import fit_surface, out_of_bounds, variances
 from lectern.operators import checks, daily
 from lectern.plans import panel as pn
 from lectern.plans import temporal
 from lectern.plans.weekly import bucket_completeness, build_weekly, fanned_out, full_weeks, latest_dates, resolved_share, stale_sources, unclosed_shares
+from lectern.session import staged
 
 #: Tables that a run may write. Fixed values.
 LANE_OUTPUTS = ("reader_week_features", "reader_week_cluster", "reader_week_measures", "cluster_profile", "k_selection", "gate_report")
@@ -50,7 +51,7 @@ class LaneResult:
 
 def daily_tables(inputs: dict[str, DataFrame], manifest: Manifest) -> dict[str, DataFrame]:
     """The published daily tables of a build that passed its checks."""
-    c = daily.context(inputs, manifest)
+    c = daily.context(inputs, manifest).stage(*daily.SHARED, "reader_section_day", "subscription_state_interval")
     checks.require(checks.run_checks(c))
     return {n: df for n, df in daily.outputs(c).items() if daily.OUTPUTS[n].published}
 
@@ -79,15 +80,15 @@ def run_lane(spark: SparkSession, tables: dict[str, DataFrame], s: LaneSettings,
     if len(weeks) < 2:
         raise LaneError(f"{len(weeks)} weeks have a whole window of data; 2 are needed")
     built = build_weekly(tables, weeks, weekly)
-    features = built.features.persist()
+    features = staged(built.features, "features")
     notes: list[str] = []
     duplicates = fanned_out(features).count()
     if unclosed_shares(features, weekly).limit(1).count():
         raise LaneError("bucket shares of content-active readers don't sum to 1")
-    sampled = pn.sample(pn.eligible(features), s.panel_seed).persist()
-    balanced = pn.balance(sampled, s.panel_seed).persist()
+    sampled = staged(pn.sample(pn.eligible(features), s.panel_seed), "sampled")
+    balanced = staged(pn.balance(sampled, s.panel_seed), "balanced")
     n = pn.require_panel(balanced, max(20, len(weeks)), weeks[-1])
-    active = pn.content_active(balanced).persist()
+    active = staged(pn.content_active(balanced), "active")
     n_active = active.count()
     if not n_active:
         raise LaneError("no row of the panel is content-active")
@@ -97,9 +98,7 @@ def run_lane(spark: SparkSession, tables: dict[str, DataFrame], s: LaneSettings,
     if odd := out_of_bounds(spread):
         notes.append(f"variances out of bounds: {odd}")
     blocks = layout("reader_email_day" in tables, "reader_community_day" in tables)
-    signals = [SOURCES[x] for b in blocks.values() for x in b]
-    rows = fit_rows(active, s.max_fit_rows, s.panel_seed).select(surface.vector().alias("x"), F.array(*(F.col(c).cast("double") for c in signals)).alias("y")).collect()
-    x, y = np.array([r.x for r in rows]), np.array([r.y for r in rows])
+    x = np.array([r.x for r in fit_rows(active, s.max_fit_rows, s.panel_seed).select(surface.vector().alias("x")).collect()])
     if not np.isfinite(x).all():
         raise LaneError("the model matrix has values that are no numbers")
     candidates = selection.sweep(spark, x, s.k_grid, s.gates, s.starts)
@@ -129,11 +128,11 @@ def run_lane(spark: SparkSession, tables: dict[str, DataFrame], s: LaneSettings,
         {"rule": pn.RULE, "seed": s.panel_seed, "n_rows": n, "n_content_active": n_active, "baseline_end": weeks[-1].isoformat(), "month_balance": [r.asDict() for r in record]},
         s.bucket_map.version,
         {b: list(parts) for b, parts in s.bucket_map.buckets.items()},
-        fit_measures(y, best.labels, blocks, version),
+        fit_measures_rows(assign(active, list(surface.standardised().values()), best.centers), "cluster_index", blocks, version),
         {"grid": list(s.k_grid), "champion": best.k, "seed_ari": best.report.median_ari, "survival_lower_bound": best.survival_lower, "variances": spread},
         list(notes),
     )
-    scores = score(features, bundle, s.feature_version).persist()
+    scores = staged(score(features, bundle, s.feature_version), "scores")
     columns = [c for c in (*(f"{ch}_views_28d" for ch in weekly.channels), *PROFILE) if c in features.columns]
     last = F.col("as_of_week_end") == F.lit(weeks[-1])
     kept = alike = None

@@ -194,3 +194,45 @@ def test_model_queries_label_all_eligible_rows(spark):
     eligible = pn.eligible(r.features).count()
     assert eligible > 2000 and len(keys) == len(set(keys)) == len(x) == eligible
     assert labelled(r, keys, kn.champion(x, 3, 4)[0].labels).count() == eligible
+
+
+def test_ranks_and_quantiles_in_ranges(spark, monkeypatch):
+    from lectern.operators import ranks
+
+    rng = np.random.default_rng(3)
+    values = np.concatenate([rng.normal(size=700), np.repeat([0.0, 1.0, -3.0], 100), rng.integers(0, 9, 200)])
+    df = spark.createDataFrame([(float(x), k % 2) for k, x in enumerate(values)] + [(None, 0)], "x double, half int")
+    monkeypatch.setattr(ranks, "RANGES", 16)
+    at = (0.0, 0.013, 0.25, 0.5, 0.995, 1.0)
+    got = ranks.quantiles(df, {"x": F.col("x"), "none": F.when(F.col("x") > 1e9, F.col("x"))}, at)
+    assert got["x"] == pytest.approx(np.quantile(values, at).tolist()) and got["none"] == [None] * 6
+    sizes = df.where("x IS NOT NULL").groupBy("half", "x").agg(F.count(F.lit(1)).alias("n"))
+    for r in ranks.ranked(sizes, ["half"], "x", "n").collect():
+        own = values[r.half :: 2]
+        assert (r._before, r._total) == ((own < r.x).sum(), len(own))
+    monkeypatch.setattr(calibration, "ONE_BUFFER", 10)
+    monkeypatch.setattr(calibration, "MOST_VALUES", 50)
+    c = calibration.fit(df, {"x": F.col("x")}, with_values=True)["x"]
+    assert c.median == pytest.approx(np.median(values)) and c.iqr == pytest.approx(np.subtract(*np.quantile(values, [0.75, 0.25])))
+    assert len(c.values) <= 52 and c.n == len(values)
+    asked = np.linspace(-4, 9, 60)
+    true = np.array([(values < x).mean() + 0.5 * (values == x).mean() for x in asked])
+    assert np.abs(c.mid_rank(asked) - true).max() < 0.1
+
+
+def test_measures_of_rows_equal_those_of_a_matrix(spark):
+    from lectern.model import measures as ms
+
+    rng = np.random.default_rng(1)
+    blocks = ms.layout(True, True)
+    signals = [s for own in blocks.values() for s in own]
+    x = rng.gamma(2.0, size=(300, 2)) @ rng.random((2, len(signals))) + rng.random((300, len(signals)))
+    x[:, 3] = 4.0
+    labels = (x[:, 0] > np.median(x[:, 0])).astype(int)
+    df = spark.createDataFrame([(int(c), *map(float, r)) for c, r in zip(labels, x, strict=True)], "c int, " + ", ".join(f"{ms.SOURCES[s]} double" for s in signals))
+    a, b = ms.fit_measures(x, labels, blocks, "v"), ms.fit_measures_rows(df, "c", blocks, "v")
+    for part in ("center", "scale", "eta_sq", "weights"):
+        assert getattr(b, part) == pytest.approx(getattr(a, part), abs=1e-9)
+    for p, q in [(a.m1, b.m1), *((a.blocks[k], b.blocks[k]) for k in blocks)]:
+        assert q.signals == p.signals and q.loadings == pytest.approx(p.loadings, abs=1e-6)
+        assert (q.explained, q.center, q.scale) == pytest.approx((p.explained, p.center, p.scale), abs=1e-6)
