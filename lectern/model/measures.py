@@ -106,14 +106,13 @@ def fit_measures_rows(rows: DataFrame, label: str, blocks: dict[str, tuple[str,
     signals = tuple(s for b in blocks.values() for s in b)
     n, pairs = len(signals), [(i, j) for i in range(len(signals)) for j in range(i + 1, len(signals))]
     x = [F.coalesce(signal(s), F.lit(0.0)) for s in signals]
-    whole = rows.agg(F.count(F.lit(1)).alias("n"), *(f(c).alias(f"{k}{i}") for i, c in enumerate(x) for k, f in (("m", F.avg), ("s", F.stddev_pop))), *(F.corr(x[i], x[j]).alias(f"c{i}_{j}") for i, j in pairs)).first()
+    whole = rows.agg(F.count(F.lit(1)).alias("n"), *(f(c).alias(f"{k}{i}") for i, c in enumerate(x) for k, f in (("m", F.avg), ("s", F.stddev_pop))), *(F.covar_pop(x[i], x[j]).alias(f"c{i}_{j}") for i, j in pairs)).first()
     if whole.n < 2:
         raise MeasuresError(f"{whole.n} rows for {n} signals")
     mean, std = (np.array([whole[f"{k}{i}"] for i in range(n)]) for k in "ms")
     r = np.diag((std > 0).astype(float))
     for i, j in pairs:
-        c = whole[f"c{i}_{j}"]
-        r[i, j] = r[j, i] = c if c is not None and np.isfinite(c) and std[i] > 0 and std[j] > 0 else 0.0
+        r[i, j] = r[j, i] = whole[f"c{i}_{j}"] / (std[i] * std[j]) if std[i] > 0 and std[j] > 0 else 0.0
     each = rows.groupBy(label).agg(F.count(F.lit(1)).alias("n"), *(F.avg(c).alias(f"m{i}") for i, c in enumerate(x))).collect()
     between = sum(g.n * (np.array([g[f"m{i}"] for i in range(n)]) - mean) ** 2 for g in each)
     total = std**2 * whole.n

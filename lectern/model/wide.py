@@ -107,11 +107,14 @@ def correlations(df: DataFrame, columns: list[Column]) -> np.ndarray:
     """The correlation matrix of columns from one aggregation; constant columns correlate with nothing."""
     n = len(columns)
     pairs = [(i, j) for i in range(n) for j in range(i + 1, n)]
-    row = df.agg(F.count(F.lit(1)).alias("n"), *(F.corr(columns[i], columns[j]).alias(f"c{i}_{j}") for i, j in pairs)).first()
+    # rows with a null in either column count for neither, as in a correlation of the two
+    both = lambda i, j: columns[i].isNotNull() & columns[j].isNotNull()
+    spread = lambda i, j, c: F.stddev_pop(F.when(both(i, j), c))
+    row = df.agg(F.count(F.lit(1)).alias("n"), *(x for i, j in pairs for x in (F.covar_pop(columns[i], columns[j]).alias(f"c{i}_{j}"), spread(i, j, columns[i]).alias(f"a{i}_{j}"), spread(i, j, columns[j]).alias(f"b{i}_{j}")))).first()
     out = np.eye(n)
     for i, j in pairs:
-        r = row[f"c{i}_{j}"]
-        out[i, j] = out[j, i] = 0.0 if r is None or math.isnan(r) else r
+        c, a, b = (row[f"{k}{i}_{j}"] for k in "cab")
+        out[i, j] = out[j, i] = c / (a * b) if a and b else 0.0
     return out
 
 
