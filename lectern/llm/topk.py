@@ -3,9 +3,11 @@
 Vectors are integers. In a block of rows, the index keeps for each component the rows' values in quantised levels, each
 level a posting segment. A query takes the segments in descending impact (its component times the segment's best value)
 and adds them to upper bounds of the rows' scores; rows that a component's segments haven't reached yet are bounded by
-that component's next segment. At each step the best rows so far are scored exactly: rows whose bound is below the k-th
-of those scores are proven out, the others are possible members. The walk stops once the possible members are few, at
-the last posting at the latest, and then only they are scored exactly, however many they are.
+that component's next segment. As segments are taken from the best on, that is the better of the next segment and the
+row's own one, so a component is added to all rows by whole-array operations. At each step the best rows so far are scored
+exactly: rows whose bound is below the k-th of those scores are proven out and left out of further steps, the others are
+possible members. The walk stops once the possible members are few, at the last posting at the latest, and then only they
+are scored exactly, however many they are.
 
 Rows and queries are dealt into blocks of bounded size by hash, and each pair of blocks is one group, so no task holds
 all queries or all rows. Each pair gives k rows a query at most, from which the k best of all blocks are taken.
@@ -27,6 +29,8 @@ ROW_BLOCK, QUERY_BLOCK = 8_192, 8_192
 STEPS = (0.6, 0.8, 0.9, 0.95, 1.0)
 #: The share of a block's rows that are few: the walk goes on while more are possible.
 FEW = 0.02
+#: Integers below have an exact value in single precision.
+EXACT = 1 << 24
 
 
 class Index:
@@ -45,7 +49,6 @@ class Index:
         values = np.ascontiguousarray(self.vectors.T)
         rows = np.argsort(values, axis=1, kind="stable")
         values = np.take_along_axis(values, rows, axis=1).ravel()
-        self.flat = rows.ravel()
         level, place = np.floor_divide(values, LEVEL), np.arange(dims * n)
         new = np.ones(dims * n, dtype=bool)
         new[1:] = (level[1:] != level[:-1]) | (place[1:] % max(n, 1) == 0)
@@ -53,10 +56,13 @@ class Index:
         end = np.append(start[1:], dims * n)[: len(start)]
         self.size, self.dim = end - start, start // max(n, 1)
         self.least, self.most = values[start], values[end - 1]
-        # where each segment ends among the postings, its bounds at each posting, and each component's run of segments
-        self.edge = np.append(start, dims * n)
-        self.low, self.high = np.repeat(self.least, self.size), np.repeat(self.most, self.size)
+        # each component's run of segments, and for each component what a row's segment is at most, then the same with all signs turned
         self.first = np.searchsorted(self.dim, np.arange(dims + 1))
+        # single precision, where it has the integers exactly; what the sums lose is added to the bounds
+        self.reach = np.abs(self.vectors).max(axis=0, initial=0)
+        self.best_of = np.empty((2 * dims, n), dtype=np.float32 if self.reach.max(initial=0) < EXACT else np.float64)
+        np.put_along_axis(self.best_of[:dims], rows, np.repeat(self.most, self.size).reshape(dims, n), axis=1)
+        np.put_along_axis(self.best_of[dims:], rows, np.repeat(-self.least, self.size).reshape(dims, n), axis=1)
 
     def exact(self, query: np.ndarray, rows: np.ndarray) -> np.ndarray:
         return (self.vectors[rows] @ query).astype(np.int64)
@@ -67,40 +73,34 @@ class Index:
         live = np.flatnonzero(query)
         segments = np.flatnonzero(query[self.dim])
         at = query[self.dim[segments]]
-        impact = np.where(at > 0, at * self.most[segments], at * self.least[segments])
-        order = segments[np.argsort(-impact, kind="stable")]
+        # impacts of one component's segments all differ, so the order needn't be stable
+        order = segments[np.argsort(-np.where(at > 0, at * self.most[segments], at * self.least[segments]))]
         reached = np.cumsum(self.size[order])
-        own_rows = np.flatnonzero(self.ids == own) if own is not None else np.array([], dtype=int)
-        have, parts, taken = np.zeros(n), np.zeros(n, dtype=np.int64), np.zeros(dims, dtype=np.int64)
-        members = np.arange(n)
+        up, weight, of = query[live] > 0, np.abs(query[live]), np.where(query[live] > 0, live, dims + live)
+        kind = self.best_of.dtype if weight.max() < EXACT else np.dtype(np.float64)
+        lost = 2 * len(live) * float(np.finfo(kind).eps) * float(weight @ self.reach[live])
+        own_rows = self.ids == own if own is not None else np.zeros(n, dtype=bool)
+        members, whole = np.flatnonzero(~own_rows), True
         for share in STEPS:
             upto = int(np.searchsorted(reached, share * reached[-1])) + 1
-            counts = np.bincount(self.dim[order[:upto]], minlength=dims)
-            rows, scores = [], []
-            for d in np.flatnonzero(counts > taken):
-                up = query[d] > 0
-                a, b = (self.first[d + 1] - counts[d], self.first[d + 1] - taken[d]) if up else (self.first[d] + taken[d], self.first[d] + counts[d])
-                run = slice(self.edge[a], self.edge[b])
-                rows.append(self.flat[run])
-                scores.append((self.high if up else self.low)[run] * query[d])
-            taken = counts
-            if rows:
-                hit = np.concatenate(rows)
-                have += np.bincount(hit, weights=np.concatenate(scores), minlength=n)
-                parts += np.bincount(hit, minlength=n)
-            left = live[counts[live] < self.first[live + 1] - self.first[live]]
-            rest = np.where(query[left] > 0, self.most[np.maximum(self.first[left + 1] - counts[left] - 1, 0)], self.least[np.minimum(self.first[left] + counts[left], len(self.least) - 1)]) * query[left]
-            # a row lacks some of the components that are left; no choice of so many has a larger sum than the largest
-            most = np.concatenate([[0.0], np.cumsum(np.sort(rest)[::-1])])
-            bound = have + most[len(live) - parts]
-            bound[own_rows] = -np.inf
-            top = np.argpartition(-bound, 4 * k)[: 4 * k]
-            top = top[bound[top] > -np.inf]
-            if len(top) < k:
-                continue
-            members = np.flatnonzero(bound >= np.partition(self.exact(query, top), -k)[-k])
+            counts = np.bincount(self.dim[order[:upto]], minlength=dims)[live]
+            left = counts < self.first[live + 1] - self.first[live]
+            rest = np.where(up, self.most[np.maximum(self.first[live + 1] - counts - 1, 0)], -self.least[np.minimum(self.first[live] + counts, len(self.least) - 1)])
+            rest = np.where(left, rest, -np.inf)
+            bound = np.full(n if whole else len(members), lost, dtype=kind)
+            part = np.empty(len(bound), dtype=kind)
+            for d, most, w in zip(of, rest.astype(kind), weight.astype(kind), strict=True):
+                np.maximum(self.best_of[d] if whole else self.best_of[d].take(members), most, out=part)
+                np.multiply(part, w, out=part)
+                np.add(bound, part, out=bound)
+            bound = bound[members] if whole else bound
+            if len(members) <= k:
+                break
+            top = members[np.argpartition(-bound, min(4 * k, len(members) - 1))[: 4 * k]]
+            members = members[bound >= np.partition(self.exact(query, top), -k)[-k]]
             if len(members) <= max(8 * k, FEW * n):
                 break
+            whole = whole and 2 * len(members) > n
         return members
 
     def best(self, query: np.ndarray, k: int, own: int | None) -> tuple[np.ndarray, np.ndarray]:

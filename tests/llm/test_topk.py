@@ -70,3 +70,27 @@ def test_search_with_odd_rows(spark):
 
 def test_sql_is_registered():
     assert "op7_topk" in SQL
+
+
+def test_bounds_of_large_and_odd_values():
+    """Integers beyond single precision, repeated rows, few rows and one live component; and the walk stays within a time a posting."""
+    import time
+
+    rng = np.random.default_rng(9)
+    for scale in (1, 2**15):
+        vectors = np.floor(rng.normal(size=(700, 8)) * 256 * scale)
+        vectors[50:90], vectors[200, 1:] = vectors[3], 0
+        index = topk.Index(np.arange(700), vectors)
+        for row in range(0, 700, 25):
+            got, scores = index.best(vectors[row], 5, row)
+            every = sorted((-int(v @ vectors[row]), i) for i, v in enumerate(vectors) if i != row)[:5]
+            assert list(zip((-scores).tolist(), got.tolist(), strict=True)) == every
+    vectors = np.floor(256 * rng.normal(size=(8192, 64)) / 8)
+    index = topk.Index(np.arange(8192), vectors)
+    began = time.process_time()
+    for row in range(100):
+        index.best(vectors[row], 5, row)
+    walked, began = time.process_time() - began, time.process_time()
+    for row in range(100):
+        np.bincount(np.tile(np.arange(8192), 64), weights=vectors.ravel() * row)
+    assert walked < 2 * (time.process_time() - began)
