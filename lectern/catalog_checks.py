@@ -24,6 +24,7 @@ from lectern.functions import columns as fn
 from lectern.model import calibration as cal
 from lectern.model import gates, selection
 from lectern.model import kernels as kn
+from lectern.model import spread
 from lectern.model.assignment import Typical, rank_labels
 from lectern.model.bundle import Bundle, BundleError
 from lectern.model.calibration import Calibration
@@ -529,11 +530,11 @@ _GAPS = "SELECT x.reader_id, x.as_of_week_end, x.b AS own, y.b AS other, avg(sqr
     gaps=_GAPS,
 )
 def ml_10(r: Run) -> DataFrame:
-    """Silhouette and size balance of b; every pair of rows counts, so the driver gets the rows, as in a fit."""
-    rows = labelings(r).select("b", F.array(*scaled().values()).alias("x")).collect()
-    labels = np.array([x.b for x in rows])
-    sizes = np.unique(labels, return_counts=True)[1]
-    return frame(r.spark, [(kn.silhouette(np.array([x.x for x in rows]), labels), float(sizes.min() / sizes.max()))], "silhouette double, size_balance double")
+    """Silhouette and size balance of b."""
+    rows = labelings(r).select("b", F.array(*scaled().values()).alias("x"))
+    sizes = rows.groupBy("b").agg(F.count(F.lit(1)).alias("n")).agg((F.min("n") / F.max("n")).alias("size_balance"))
+    # two single rows
+    return spread.silhouette(rows, "x", "b").join(F.broadcast(sizes))
 
 
 @query("ml_8", body="SELECT d::INTEGER AS draw, (n - greatest(1, round_even(n * 0.001, 0)))::BIGINT AS kept, true AS distinct_rows FROM (SELECT count(*) AS n FROM eligible), (SELECT unnest([1, 2, 3]) AS d)")

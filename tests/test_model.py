@@ -236,3 +236,20 @@ def test_measures_of_rows_equal_those_of_a_matrix(spark):
     for p, q in [(a.m1, b.m1), *((a.blocks[k], b.blocks[k]) for k in blocks)]:
         assert q.signals == p.signals and q.loadings == pytest.approx(p.loadings, abs=1e-6)
         assert (q.explained, q.center, q.scale) == pytest.approx((p.explained, p.center, p.scale), abs=1e-6)
+
+
+def test_silhouette_of_a_table(spark, monkeypatch):
+    from lectern.model import spread
+
+    rng = np.random.default_rng(6)
+    x = np.round(rng.normal(size=(300, 3)), 1)
+    x[200:] = x[:100]
+    labels = rng.integers(0, 3, 300)
+    labels[200:] = labels[:100]
+    x[7], labels[7] = 9.0, 5
+    df = spark.createDataFrame([(v.tolist(), int(c)) for v, c in zip(x, labels, strict=True)], "x array<double>, b int")
+    for block in (10_000, 40):
+        monkeypatch.setattr(spread, "BLOCK", block)
+        assert spread.silhouette(df, "x", "b").first().silhouette == pytest.approx(kn.silhouette(x, labels), abs=1e-7)
+    assert spread.silhouette(df.where("b = 1"), "x", "b").first().silhouette is None
+    assert spread.silhouette(df.limit(0), "x", "b").first().silhouette is None
