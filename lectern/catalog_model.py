@@ -10,6 +10,7 @@ from functools import reduce
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,7 +26,7 @@ from lectern.model.settings import LaneSettings, Thresholds
 from lectern.operators import checks, daily
 from lectern.plans import panel as pn
 from lectern.plans import weekly
-from lectern.session import scratch_dir
+from lectern.session import scratch_dir, staged
 from lectern.sources import cohort
 from lectern.sources.testdata import delivery, manifest, sql
 
@@ -104,6 +105,12 @@ def matrix(r: Run) -> tuple[DataFrame, np.ndarray]:
     return [(x.reader_id, x.as_of_week_end) for x in rows], np.array([x.x for x in rows])
 
 
+def flat(table: pa.Table) -> np.ndarray:
+    """The arrays of column x as a matrix."""
+    x = table.column("x").combine_chunks()
+    return x.flatten().to_numpy(zero_copy_only=False).reshape(len(x), len(scaled()))
+
+
 def labelled(r: Run, keys: list, labels: np.ndarray) -> DataFrame:
     return frame(r.intervals.sparkSession, [(*k, int(x)) for k, x in zip(keys, labels, strict=True)], "reader_id string, as_of_week_end date, label int")
 
@@ -116,8 +123,15 @@ def ml_1(r: Run) -> DataFrame:
 
 @query("ml_2")
 def ml_2(r: Run) -> DataFrame:
-    keys, x = matrix(r)
-    return labelled(r, keys, kn.ward(x, 3))
+    """Ward's clusters of all eligible reader-weeks; the driver gets their distinct points only, and fits them with their numbers of rows."""
+    rows = staged(pn.eligible(r.features).select(*KEY, F.array(*scaled().values()).alias("x")), "rows")
+    points = rows.groupBy("x").agg(F.count(F.lit(1)).alias("n")).toArrow()
+    x = flat(points)
+    order = np.lexsort(x.T[::-1])
+    labels = np.empty(len(x), dtype=np.int32)
+    labels[order] = kn.ward_points(x[order], points.column("n").to_numpy()[order], 3)
+    named = r.spark.createDataFrame(points.select(["x"]).append_column("label", pa.array(labels)))
+    return rows.join(named, "x").select(*KEY, "label")
 
 
 @register("ml_9", "SELECT s::INTEGER AS successes, round(greatest(0, (p + zz / 2 - 1.645::DOUBLE * sqrt((p * (1 - p) + zz / 4) / 50)) / (1 + zz)), 6) AS lower_bound FROM (SELECT s, s / 50.0::DOUBLE AS p, 1.645::DOUBLE * 1.645::DOUBLE / 50 AS zz FROM range(51) t(s))")
@@ -145,8 +159,11 @@ query("ml_17", body="SELECT reader_id, as_of_week_end, " + ", ".join(f"round({x}
 
 @query("ml_21")
 def ml_21(r: Run) -> DataFrame:
+    from lectern.plans.lane import fit_rows
+
     spark = r.intervals.sparkSession
-    return spark.createDataFrame(pd.DataFrame(bars.derive(spark, matrix(r)[1], (3,), (bars.GAUSSIAN, bars.PERMUTE), replicates=4, starts=2)))
+    rows = fit_rows(pn.eligible(r.features), None, SEED).select(F.array(*scaled().values()).alias("x"))
+    return spark.createDataFrame(pd.DataFrame(bars.derive(spark, flat(rows.toArrow()), (3,), (bars.GAUSSIAN, bars.PERMUTE), replicates=4, starts=2)))
 
 
 def fitted_wide(r: Run) -> tuple[wide.Wide, DataFrame]:

@@ -238,6 +238,31 @@ def test_measures_of_rows_equal_those_of_a_matrix(spark):
         assert (q.explained, q.center, q.scale) == pytest.approx((p.explained, p.center, p.scale), abs=1e-6)
 
 
+def test_ward_of_many_and_of_equal_rows():
+    """As many rows as the quadratic hierarchy would take hours for; equal rows and equal distances against greedy merging."""
+    rng = np.random.default_rng(4)
+    for x in (rng.normal(size=(260, 3)), np.repeat(rng.normal(size=(90, 4)), 3, axis=0), rng.lognormal(size=(200, 2)) ** 2):
+        center, size, label = [list(c) for c in x], [1] * len(x), {n: [n] for n in range(len(x))}
+        while len(label) > 4:
+            at = sorted(label)
+            c, n = np.array([center[i] for i in at]), np.array([size[i] for i in at])
+            cost = ((c[:, None] - c[None]) ** 2).sum(2) * (n[:, None] * n) / (n[:, None] + n)
+            np.fill_diagonal(cost, np.inf)
+            i, j = (at[v] for v in np.unravel_index(cost.argmin(), cost.shape))
+            center[i] = (np.array(center[i]) * size[i] + np.array(center[j]) * size[j]) / (size[i] + size[j])
+            size[i] += size[j]
+            label[i] += label.pop(j)
+        want = np.empty(len(x), dtype=int)
+        for n, rows in enumerate(label.values()):
+            want[rows] = n
+        assert kn.adjusted_rand(kn.ward(x, 4), want) == 1.0
+    assert len(np.unique(kn.ward(np.zeros((9, 2)), 3))) == 3
+    lattice = np.stack(np.meshgrid(*[np.arange(12.0)] * 4), -1).reshape(-1, 4)
+    assert sorted(np.unique(kn.ward(lattice, 3))) == [0, 1, 2]
+    truth = np.arange(40_000) % 3
+    assert kn.adjusted_rand(kn.ward(rng.normal(size=(40_000, 3)) + 40 * truth[:, None], 3), truth) == 1.0
+
+
 def test_silhouette_of_a_table(spark, monkeypatch):
     from lectern.model import spread
 
@@ -253,3 +278,12 @@ def test_silhouette_of_a_table(spark, monkeypatch):
         assert spread.silhouette(df, "x", "b").first().silhouette == pytest.approx(kn.silhouette(x, labels), abs=1e-7)
     assert spread.silhouette(df.where("b = 1"), "x", "b").first().silhouette is None
     assert spread.silhouette(df.limit(0), "x", "b").first().silhouette is None
+
+
+def test_model_queries_bring_no_rows_to_the_driver():
+    """ml_2 and ml_10 collected all eligible reader-weeks as Python rows."""
+    import inspect
+
+    from lectern import catalog_checks, catalog_model
+
+    assert ".collect()" not in inspect.getsource(catalog_checks.ml_10) and "matrix(" not in inspect.getsource(catalog_model.ml_2)
