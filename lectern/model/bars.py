@@ -69,14 +69,15 @@ def derive(spark: SparkSession, x: np.ndarray, grid: tuple[int, ...], nulls: tup
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in parts:
             rows = []
-            for k, null, r in part.itertuples(index=False):
+            for k, null, r in (cells[at] for at in part.id):
                 rng = np.random.default_rng([seed, k, len(null), r])
                 panel = planted_panel(k, sent.value.shape[1], rng) if null == "planted" else null_panel(sent.value, null, rng)
                 rows.append((k, null, r, statistic(panel, k, starts, seed + r)))
             yield pd.DataFrame(rows, columns=["k", "null", "r", "score"])
 
     schema = "k int, null string, r int"
-    frame = spark.createDataFrame(cells, schema).repartition(min(len(cells), 512), "k", "null", "r")
+    # a task for each cell: they are few and long, and dealt by a hash some would wait for others
+    frame = spark.range(0, len(cells), 1, min(len(cells), 512))
     found = frame.mapInPandas(run, f"{schema}, score double").toPandas()
     planted = found[found.null == "planted"].set_index("k").score
     out = []
