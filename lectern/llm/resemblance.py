@@ -1,28 +1,37 @@
-"""Texts whose five-word shingles are alike: MinHash bands name candidates, whole shingle sets decide.
+"""Texts whose five-word shingles are alike: every pair at the threshold is linked, or joined by other links.
 
 The resemblance of two texts is the Jaccard coefficient of their sets of word shingles (A-Z lower-cased; all words joined
-if there are fewer than a shingle has). A text has 64 least values under 64 hash functions, in 16 bands of four; two
-texts of resemblance 0.8 agree in a band with probability 0.41 and in at least one of 16 with 0.9998. A pair goes on if
-as many of the 64 values agree as four standard deviations below the threshold allow, and is then checked over the whole
-sets, so no pair below the threshold is ever linked.
-
-Buckets up to SMALL_BUCKET members give all their pairs. A larger one is dealt into parts of about PART members by a hash
-of the id; members are compared with one of their part, and these with one of theirs, the same ones from bucket to bucket
-where they can be. Members unlike theirs are placed anew by pairs of bands, under which few but like texts still meet, and
-these buckets are treated alike. So no bucket is gathered whole, and the pairs grow as the members, not as their square.
-What a large bucket can miss is a text that resembles a member but not the one that stands for the bucket's part, where
-no other band finds the two.
+if there are fewer than a shingle has). Texts with one set are one class, whose least id stands for all.
+
+MinHash bands come first: a class has 64 least values under 64 hash functions, in 16 bands of four; two texts of
+resemblance 0.8 agree in a band with probability 0.41 and in at least one of 16 with 0.9998. A pair goes on if as many of
+the 64 values agree as four standard deviations below the threshold allow, and is then checked over the whole sets, so no
+pair below the threshold is ever linked. Buckets up to SMALL_BUCKET members give all their pairs. A larger one is dealt
+into parts of about PART members by a hash of the id; members are compared with one of their part, and these with one of
+theirs, the same ones from bucket to bucket where they can be. Members unlike theirs are placed anew by pairs of bands,
+under which few but like texts still meet, and these buckets are treated alike.
+
+The bands can miss pairs, so prefixes follow, which can't. In any one order of all shingles, two sets of n and m shingles
+and resemblance t share one of the first n - ceil(t n) + 1 of one and m - ceil(t m) + 1 of the other. All texts are placed
+under the shingles of these prefixes, and all pairs of a shingle whose texts the links so far haven't joined are compared:
+by size, by 512 parity bits (each shingle in one set only changes one bit, so a pair with more bits apart than shingles may
+differ is no link), then over the whole sets. The order puts shingles seen in many texts last, so that few texts meet
+there; it is estimated, and whatever it is, the pairs found are the same. Pairs that are joined already are never made, so
+groups of copies don't grow as their square; texts that share most of a common passage and are no copies do.
 """
 
 from __future__ import annotations
 
 import math
 
+from collections.abc import Iterator
+
 import numpy as np
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lectern.llm.common import per_text, staged
+from lectern.llm.common import per_text, sliced, staged
 from lectern.llm.components import components
 
 SHINGLE, SEED = 5, 42
@@ -31,6 +40,10 @@ VALUES = BANDS * BAND_ROWS
 SMALL_BUCKET, PART = 8, 512
 #: Distances to the bands that a band is paired with.
 PAIRED = (1, 3, 5, 7)
+#: Shingles of which a task looks for repeats at once, the repeats from which a shingle is put last, and words of parity bits.
+HELD, COMMON, PARITY = 500_000, 64, 8
+#: Words of the bitmap that tells most texts that aren't asked for.
+WORDS = 1 << 17
 
 _RND = np.random.default_rng(SEED)
 _FACTORS = _RND.integers(0, 1 << 63, VALUES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -113,22 +126,138 @@ def candidates(sketches: DataFrame, similarity: float) -> DataFrame:
     return staged(found.where(F.col("agreeing") >= least).select("a", "b").distinct(), "candidates")
 
 
-def resembling(df: DataFrame, ids: DataFrame, similarity: float, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(node, root) for each of `ids` (one column `id`) that links of at least `similarity` join to a smaller id, its root.
+def prefix(shingles: np.ndarray, similarity: float, common: np.ndarray, rank: np.ndarray) -> tuple[list[int], list[int]]:
+    """The first shingles of a sorted set, in the order rare ones by value, then those of the sorted `common` by rank; in these two parts."""
+    n = len(shingles)
+    if not n:
+        return [], []
+    length = n - math.ceil(similarity * n - 1e-9) + 1
+    at = np.minimum(np.searchsorted(common, shingles), max(len(common) - 1, 0))
+    known = common[at] == shingles if len(common) else np.zeros(n, dtype=bool)
+    rare = shingles[~known][:length]
+    last = shingles[known][np.argsort(rank[at[known]], kind="stable")][: length - len(rare)]
+    return rare.tolist(), last.tolist()
 
-    Texts without words have no shingles and are linked to none. Null ids link nothing; of several texts with one id,
-    one is compared. An empty table gives no rows. Columns of df other than the two named have no effect.
-    """
-    named = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).where("id is not null")
-    found = per_text(named, "id", "text", "keys array<bigint>, low array<tinyint>", lambda: lambda texts: [sketch(shingle_set(t)) for t in texts])
-    chosen = found.where("size(keys) > 0").join(ids.hint("merge"), "id", "left_semi")
-    sketches = staged(chosen.groupBy("id").agg(F.min(F.struct("keys", "low")).alias("s")).select("id", "s.keys", "s.low"), "sketches")
-    pairs = candidates(sketches, similarity)
+
+def parity(shingles: np.ndarray) -> list[int]:
+    """PARITY words, in which a bit is set if an odd number of shingles has it."""
+    odd = np.bincount((shingles.view(np.uint64) >> np.uint64(20)).astype(np.int64) % (64 * PARITY), minlength=64 * PARITY) % 2
+    return np.packbits(odd.astype(bool), bitorder="little").view("<i8").tolist()
+
+
+def _repeated(texts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Shingles that many texts seem to have, sorted, and their place by number. Only the order of shingles depends on it."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[np.ndarray] = []
+
+        def counted() -> pa.RecordBatch:
+            values, n = np.unique(np.concatenate(held), return_counts=True)
+            return pa.RecordBatch.from_arrays([pa.array(values[n > 1]), pa.array(n[n > 1])], names=["shingle", "n"])
+
+        size = 0
+        for part in sliced(batches):
+            for text in part.column(0).to_pylist():
+                held.append(shingle_set(text))
+                size += len(held[-1])
+                if size >= HELD:
+                    yield counted()
+                    held, size = [], 0
+        if held:
+            yield counted()
+
+    seen = texts.select("text").mapInArrow(run, "shingle bigint, n bigint").groupBy("shingle").agg(F.sum("n").alias("n"))
+    found = seen.where(F.col("n") >= COMMON).toPandas()
+    shingles, n = found["shingle"].to_numpy(np.int64), found["n"].to_numpy(np.int64)
+    order = np.argsort(shingles)
+    shingles, n = shingles[order], n[order]
+    rank = np.empty(len(n), dtype=np.int64)
+    rank[np.lexsort((shingles, n))] = np.arange(len(n))
+    return shingles, rank
+
+
+def _fitting(similarity: float, a: str, b: str) -> str:
+    return f"{a}.root != {b}.root and {a}.id < {b}.id and least({a}.n, {b}.n) / greatest({a}.n, {b}.n) >= {similarity}D"
+
+
+def unjoined(named: DataFrame, classes: DataFrame, roots: DataFrame, similarity: float) -> DataFrame:
+    """Pairs (a, b), a < b, of `classes` (one column `id`) that may resemble each other and have different roots, each once; none is missing."""
+    common, rank = _repeated(named)
+
+    def of(texts: list) -> list[tuple]:
+        sets = map(shingle_set, texts)
+        return [(len(s), *prefix(s, similarity, common, rank), parity(s)) for s in sets]
+
+    found = per_text(named, "id", "text", "n int, rare array<bigint>, common array<bigint>, bits array<bigint>", lambda: of)
+    own = found.join(classes.hint("merge"), "id", "left_semi").join(roots.select(F.col("node").alias("id"), "root").hint("merge"), "id", "left")
+    own = own.withColumn("root", F.coalesce("root", "id")).groupBy("id").agg(F.min(F.struct("root", "n", "rare", "common", "bits")).alias("s"))
+    own = staged(own.select("id", "s.*"), "prefixes")
+    # most shingles stand in one text: those are left out before anything is joined or gathered
+    alone = own.select(F.explode("rare").alias("shingle"), "id").withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy("shingle")))
+    again = staged(alone.where("_n > 1").select("shingle", "id"), "again").join(own.select("id", "root", "n").hint("merge"), "id")
+    under = again.groupBy("shingle").agg(F.collect_list(F.struct("root", "id", "n")).alias("ts")).where("array_min(ts).root != array_max(ts).root")
+    near = under.select(F.explode(F.expr(f"flatten(transform(ts, a -> transform(filter(ts, b -> {_fitting(similarity, 'a', 'b')}), b -> struct(a.id as a, b.id as b))))")).alias("p")).select("p.a", "p.b")
+    # common shingles have texts without number, so these are dealt into parts, and each part meets all
+    placed = own.select(F.explode("common").alias("shingle"), "root", "id", "n")
+    sizes = placed.groupBy("shingle").agg(F.count(F.lit(1)).alias("_n"), F.min("root").alias("_x"), F.max("root").alias("_y")).where("_x != _y")
+    many = placed.join(sizes.select("shingle", F.ceil(F.col("_n") / PART).cast("int").alias("parts")).hint("merge"), "shingle")
+    one = many.withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int")).alias("x")
+    other = many.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).alias("y")
+    met = one.hint("merge").join(other, F.expr(f"x.shingle = y.shingle and x.part = y.part and {_fitting(similarity, 'x', 'y')}"))
+    pairs = near.unionByName(met.select(F.col("x.id").alias("a"), F.col("y.id").alias("b"))).distinct()
+    bits_a, bits_b = (own.select(F.col("id").alias(c), F.col("n").alias(f"n_{c}"), F.col("bits").alias(f"bits_{c}")).hint("merge") for c in "ab")
+    apart = F.aggregate(F.zip_with("bits_a", "bits_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
+    most = (F.col("n_a") + F.col("n_b")) * F.lit((1 - similarity) / (1 + similarity)) + 1e-6
+    return staged(pairs.join(bits_b, "b").join(bits_a, "a").where(apart <= most).select("a", "b"), "unjoined")
+
+
+def _likely(named: DataFrame, asked: DataFrame) -> DataFrame:
+    """The rows of `named` whose id may be among `asked`: none of those is lost, and most others needn't be moved."""
+    at = lambda: F.pmod(F.xxhash64("id"), F.lit(64 * WORDS))
+    set_bits = asked.select(at().alias("h")).groupBy(F.expr("h div 64").alias("w")).agg(F.expr("bit_or(shiftleft(1L, cast(h % 64 as int)))").alias("bits")).toPandas()
+    words = np.zeros(WORDS, dtype=np.int64)
+    words[set_bits["w"].to_numpy(np.int64)] = set_bits["bits"].to_numpy(np.int64)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            h = batch.column(2).to_numpy()
+            yield batch.select(["id", "text"]).filter(pa.array((words[h >> 6] >> (h & 63) & 1).astype(bool)))
+
+    return named.select("id", "text", at().alias("h")).mapInArrow(run, named.select("id", "text").schema)
+
+
+def _alike(named: DataFrame, pairs: DataFrame, similarity: float) -> DataFrame:
+    """The pairs whose whole shingle sets resemble each other."""
     asked = pairs.select(F.col("a").alias("id")).unionAll(pairs.select("b")).distinct()
-    texts = named.join(asked.hint("merge"), "id", "left_semi")
+    texts = _likely(named, asked).join(asked.hint("merge"), "id", "left_semi")
     sets = staged(per_text(texts, "id", "text", "shingles array<bigint>", lambda: lambda texts: [(shingle_set(t),) for t in texts]), "shingles")
     of_a, of_b = (sets.select(F.col("id").alias(c), F.col("shingles").alias(f"of_{c}")).hint("merge") for c in "ab")
     small, large = F.least(F.size("of_a"), F.size("of_b")), F.greatest(F.size("of_a"), F.size("of_b"))
     both = pairs.join(of_b, "b").join(of_a, "a").where(small / large >= similarity)
     common = F.size(F.array_intersect("of_a", "of_b"))
-    return components(both.where(common / (small + large - common) >= similarity).select("a", "b"))
+    return both.where(common / (small + large - common) >= similarity).select("a", "b")
+
+
+def resembling(df: DataFrame, ids: DataFrame, similarity: float, id_col: str = "doc_id", text_col: str = "text", joined: DataFrame | None = None) -> DataFrame:
+    """(node, root) for each of `ids` (one column `id`) that links of at least `similarity`, and those of `joined` (a, b), join to a smaller id, its root.
+
+    Texts without words have no shingles and are linked to none. Null ids link nothing; of several texts with one id,
+    one is compared. An empty table gives no rows. Columns of df other than the two named have no effect.
+    """
+    import xxhash
+
+    named = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).where("id is not null")
+
+    def of(texts: list) -> list[tuple]:
+        sets = map(shingle_set, texts)
+        return [(xxhash.xxh3_128_digest(s.tobytes()), *sketch(s)) for s in sets]
+
+    found = per_text(named, "id", "text", "mark binary, keys array<bigint>, low array<tinyint>", lambda: of)
+    chosen = found.where("size(keys) > 0").join(ids.hint("merge"), "id", "left_semi")
+    every = staged(chosen.groupBy("id").agg(F.min(F.struct("mark", "keys", "low")).alias("s")).select("id", "s.*"), "sketched")
+    sketches = staged(every.groupBy("mark").agg(F.min(F.struct("id", "keys", "low")).alias("s")).select("mark", "s.*"), "sketches")
+    copies = every.join(sketches.select("mark", F.col("id").alias("b")).hint("merge"), "mark").where("id != b").select(F.col("id").alias("a"), "b")
+    links = copies.unionByName(_alike(named, candidates(sketches, similarity), similarity))
+    roots = components(links.unionByName(joined) if joined is not None else links)
+    rest = _alike(named, unjoined(named, sketches.select("id"), roots, similarity), similarity)
+    return components(rest.unionByName(roots.select(F.col("node").alias("a"), F.col("root").alias("b"))))

@@ -91,15 +91,18 @@ def groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
 def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float | None = None) -> DataFrame:
     """The rows of df whose document has the least id of its group, in df's own columns.
 
-    With a similarity, the least ids of the fingerprints' groups are grouped once more by the resemblance of their
-    five-word shingles, which fingerprints can't tell, and the least id of each of those groups stays.
+    With a similarity, texts are also linked by the resemblance of their five-word shingles, which fingerprints can't
+    tell: all texts, not one of each fingerprint group, as a text can resemble others that the least of its group doesn't.
+    The groups are those of both kinds of links together.
     Rows with a null id can't be told apart and all stay; of repeated rows with one id, one stays.
     """
     found = groups(df, id_col, text_col)
     kept = found.where(F.col(id_col) == F.col("component_id"))
     repeated = staged(kept.groupBy(id_col).agg(F.count(F.lit(1)).alias("n")).select(F.col(id_col).alias("_kept"), F.col("n").alias("_rows")), "kept")
     if similarity is not None:
-        alike = resembling(df, repeated.select(F.col("_kept").alias("id")), similarity, id_col, text_col)
+        members = found.where(F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("a")).agg(F.min("component_id").alias("b"))
+        members = staged(members, "members")
+        alike = resembling(df, members.select(F.col("a").alias("id")), similarity, id_col, text_col, members)
         repeated = staged(repeated.join(alike.select(F.col("node").alias("_kept")).hint("merge"), "_kept", "left_anti"), "apart")
     # the kept ids grow with the rows, so they are never broadcast, however few they are in a small table
     once = df.join(repeated.where("_rows = 1").select("_kept").hint("merge"), F.col(id_col) == F.col("_kept"), "left_semi")

@@ -95,3 +95,32 @@ def test_keep_one_drops_near_copies(spark):
     kept = simhash.keep_one(df, similarity=0.8)
     assert kept.columns == df.columns
     assert sorted(r.doc_id or -1 for r in kept.collect()) == [-1, 3, 5]
+
+
+def test_pairs_that_bands_and_parts_miss(spark, monkeypatch):
+    """Without any candidate of the bands, the prefixes still find every pair, and whatever shingles they put last."""
+    rnd, texts = random.Random(7), {}
+    passage = [f"p{k}" for k in range(40)]
+    for group in range(40):
+        words = passage * (group % 2) + [f"g{group}w{k}" for k in range(rnd.randrange(1, 90))]
+        for _ in range(rnd.randrange(1, 5)):
+            texts[len(texts)] = edited(words, rnd, rnd.randrange(0, 1 + len(words) // 25))
+    for k in range(30):
+        texts[len(texts)] = " ".join(passage + [f"t{k}"] * (k % 7))
+    want = brute_roots(texts)
+    monkeypatch.setattr(resemblance, "candidates", lambda sketches, similarity: spark.createDataFrame([], "a long, b long"))
+    monkeypatch.setattr(resemblance, "PART", 8)
+    for common in (2, 30, 10**6):
+        monkeypatch.setattr(resemblance, "COMMON", common)
+        assert found_roots(spark, texts) == want
+    assert len(set(want.values())) < len(texts) - 40
+
+
+def test_links_of_texts_that_fingerprints_group(spark, monkeypatch):
+    """Text 2 shares a fingerprint group with 1, which resembles nothing, and resembles 3."""
+    words = [f"w{k}" for k in range(100)]
+    rows = [(1, "quite another text altogether it is"), (2, " ".join(words)), (3, " ".join(words[:-2] + ["x"])), (4, "and one more that is alone")]
+    monkeypatch.setattr(simhash, "fingerprint", lambda text: {"q": 0, "a": 2**40 - 1}.get(text[0], 1 if text.endswith("w99") else 2**20 - 1))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    monkeypatch.setattr(simhash, "fingerprints", lambda df, *cols: spark.createDataFrame([(i, simhash.fingerprint(t)) for i, t in rows], "doc_id long, fp long"))
+    assert sorted(r.doc_id for r in simhash.keep_one(df, similarity=0.8).collect()) == [1, 4]
