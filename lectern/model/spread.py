@@ -10,24 +10,26 @@ from pyspark.sql import functions as F
 from lectern.session import staged
 
 #: Points of a block, and rows and columns of a tile that is held at once.
-BLOCK, TILE = 32_768, (32, 2_048)
+BLOCK, TILE = 32_768, (256, 512)
 
 
-def _sums(a: np.ndarray, b: np.ndarray, one: np.ndarray) -> np.ndarray:
-    """For each row of a, the summed distances to the rows of b by the columns of `one`."""
-    out = np.zeros((len(a), one.shape[1]))
-    for to in range(0, len(b), TILE[1]):
-        columns = np.ascontiguousarray(b[to : to + TILE[1]].T)
-        for at in range(0, len(a), TILE[0]):
-            part = a[at : at + TILE[0]]
-            total = np.zeros((len(part), columns.shape[1]))
-            d = np.empty_like(total)
-            for j, column in enumerate(columns):
-                np.subtract(part[:, j, None], column, out=d)
-                np.multiply(d, d, out=d)
-                np.add(total, d, out=total)
-            out[at : at + TILE[0]] += np.sqrt(total, out=total) @ one[to : to + TILE[1]]
-    return out
+def _sums(a: np.ndarray, b: np.ndarray, of_a: np.ndarray, of_b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each row of a, the summed distances to the rows of b by the columns of `of_b`, and for each of b those to a by `of_a`."""
+    out_a, out_b = np.zeros((len(a), of_b.shape[1])), np.zeros((len(b), of_a.shape[1]))
+    middle = a.mean(0)
+    a, b = a - middle, b - middle
+    # a product gives the squares of the distances
+    left = np.column_stack([a, (a * a).sum(1), np.ones(len(a))])
+    right = np.column_stack([-2 * b, np.ones(len(b)), (b * b).sum(1)])
+    for at in range(0, len(a), TILE[0]):
+        rows = slice(at, at + TILE[0])
+        for to in range(0, len(b), TILE[1]):
+            columns = slice(to, to + TILE[1])
+            d = left[rows] @ right[columns].T
+            np.sqrt(np.maximum(d, 0, out=d), out=d)
+            out_a[rows] += d @ of_b[columns]
+            out_b[columns] += d.T @ of_a[rows]
+    return out_a, out_b
 
 
 def silhouette(df: DataFrame, point: str, label: str) -> DataFrame:
@@ -52,16 +54,17 @@ def silhouette(df: DataFrame, point: str, label: str) -> DataFrame:
         points = lists.flatten().to_numpy().reshape(len(lists), -1)
         labels, n, at = (table.column(c).to_numpy() for c in ("label", "n", "at"))
         parts = [np.flatnonzero(at == k) for k in dict.fromkeys((i, j))]
+        mine, other = parts[0], parts[-1]
+        if not len(mine) or not len(other):
+            return table.select(["x", "label", "n"]).slice(0, 0).append_column("other", table.column("label").slice(0, 0)).append_column("total", pa.array([], pa.float64()))
+        names, to = np.unique(labels, return_inverse=True)
+        one = np.zeros((len(to), len(names)))
+        one[np.arange(len(to)), to] = n
+        found = _sums(points[mine], points[other], one[mine], one[other])
         out = []
-        for own, other in {(0, len(parts) - 1), (len(parts) - 1, 0)}:
-            if not len(parts[own]) or not len(parts[other]):
-                continue
-            names, to = np.unique(labels[parts[other]], return_inverse=True)
-            one = np.zeros((len(to), len(names)))
-            one[np.arange(len(to)), to] = n[parts[other]]
-            found = _sums(points[parts[own]], points[parts[other]], one)
-            mine = table.select(["x", "label", "n"]).take(np.repeat(parts[own], len(names)))
-            out.append(mine.append_column("other", pa.array(np.tile(names, len(parts[own])))).append_column("total", pa.array(found.ravel())))
+        for rows, total in zip(parts, found, strict=False):
+            each = table.select(["x", "label", "n"]).take(np.repeat(rows, len(names)))
+            out.append(each.append_column("other", pa.array(np.tile(names, len(rows)), table.schema.field("label").type)).append_column("total", pa.array(total.ravel())))
         return pa.concat_tables(out)
 
     kind = df.select(label).schema[0].dataType.simpleString()
