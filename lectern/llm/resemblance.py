@@ -14,8 +14,8 @@ under which few but like texts still meet, and these buckets are treated alike.
 The bands can miss pairs, so prefixes follow, which can't. In any one order of all shingles, two sets of n and m shingles
 and resemblance t share one of the first n - ceil(t n) + 1 of one and m - ceil(t m) + 1 of the other. All texts are placed
 under the shingles of these prefixes, and all pairs of a shingle whose texts the links so far haven't joined are compared:
-by size, by 512 parity bits (each shingle in one set only changes one bit, so a pair with more bits apart than shingles may
-differ is no link), then over the whole sets. The order puts shingles seen in many texts last, so that few texts meet
+by size, by parity bits (512 or more, at least as many as shingles; each shingle in one set only changes one bit, so a pair
+with more bits apart than shingles may differ is no link), then over the whole sets. The order puts shingles seen in many texts last, so that few texts meet
 there; it is estimated, and whatever it is, the pairs found are the same. Pairs that are joined already are never made, so
 groups of copies don't grow as their square; texts that share most of a common passage and are no copies do.
 """
@@ -28,7 +28,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lectern.llm.common import per_text, sliced, staged
@@ -40,7 +40,7 @@ VALUES = BANDS * BAND_ROWS
 SMALL_BUCKET, PART = 8, 512
 #: Distances to the bands that a band is paired with.
 PAIRED = (1, 3, 5, 7)
-#: Shingles of which a task looks for repeats at once, the repeats from which a shingle is put last, and words of parity bits.
+#: Shingles of which a task looks for repeats at once, the repeats from which a shingle is put last, and words of parity bits of a small set.
 HELD, COMMON, PARITY = 500_000, 64, 8
 #: Words of the bitmap that tells most texts that aren't asked for.
 WORDS = 1 << 17
@@ -140,8 +140,11 @@ def prefix(shingles: np.ndarray, similarity: float, common: np.ndarray, rank: np
 
 
 def parity(shingles: np.ndarray) -> list[int]:
-    """PARITY words, in which a bit is set if an odd number of shingles has it."""
-    odd = np.bincount((shingles.view(np.uint64) >> np.uint64(20)).astype(np.int64) % (64 * PARITY), minlength=64 * PARITY) % 2
+    """PARITY words, doubled until there are as many bits as shingles, in which a bit is set if an odd number of shingles has it."""
+    bits = 64 * PARITY
+    while bits < len(shingles):
+        bits *= 2
+    odd = np.bincount((shingles.view(np.uint64) >> np.uint64(20)).astype(np.int64) % bits, minlength=bits) % 2
     return np.packbits(odd.astype(bool), bitorder="little").view("<i8").tolist()
 
 
@@ -180,6 +183,15 @@ def _fitting(similarity: float, a: str, b: str) -> str:
     return f"{a}.root != {b}.root and {a}.id < {b}.id and least({a}.n, {b}.n) / greatest({a}.n, {b}.n) >= {similarity}D"
 
 
+def _folded(words: Column, length: Column, times: int) -> Column:
+    """Parity words of a larger set, brought to a smaller one's length by XOR of their halves."""
+    for _ in range(times):
+        half = (F.size(words) / 2).cast("int")
+        halves = F.zip_with(F.slice(words, F.lit(1), half), F.slice(words, half + 1, half), lambda x, y: x.bitwiseXOR(y))
+        words = F.when(F.size(words) > length, halves).otherwise(words)
+    return words
+
+
 def unjoined(named: DataFrame, classes: DataFrame, roots: DataFrame, similarity: float) -> DataFrame:
     """Pairs (a, b), a < b, of `classes` (one column `id`) that may resemble each other and have different roots, each once; none is missing."""
     common, rank = _repeated(named)
@@ -206,7 +218,10 @@ def unjoined(named: DataFrame, classes: DataFrame, roots: DataFrame, similarity:
     met = one.hint("merge").join(other, F.expr(f"x.shingle = y.shingle and x.part = y.part and {_fitting(similarity, 'x', 'y')}"))
     pairs = near.unionByName(met.select(F.col("x.id").alias("a"), F.col("y.id").alias("b"))).distinct()
     bits_a, bits_b = (own.select(F.col("id").alias(c), F.col("n").alias(f"n_{c}"), F.col("bits").alias(f"bits_{c}")).hint("merge") for c in "ab")
-    apart = F.aggregate(F.zip_with("bits_a", "bits_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
+    # lengths are powers of two that grow with the sizes, whose ratio is 1 / similarity at most
+    length, times = F.least(F.size("bits_a"), F.size("bits_b")), math.ceil(math.log2(1 / similarity))
+    a, b = (_folded(F.col(f"bits_{c}"), length, times) for c in "ab")
+    apart = F.aggregate(F.zip_with(a, b, lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
     most = (F.col("n_a") + F.col("n_b")) * F.lit((1 - similarity) / (1 + similarity)) + 1e-6
     return staged(pairs.join(bits_b, "b").join(bits_a, "a").where(apart <= most).select("a", "b"), "unjoined")
 
@@ -227,15 +242,24 @@ def _likely(named: DataFrame, asked: DataFrame) -> DataFrame:
 
 
 def _alike(named: DataFrame, pairs: DataFrame, similarity: float) -> DataFrame:
-    """The pairs whose whole shingle sets resemble each other."""
+    """The pairs whose whole shingle sets resemble each other. Texts are moved, which take less room than their sets."""
     asked = pairs.select(F.col("a").alias("id")).unionAll(pairs.select("b")).distinct()
     texts = _likely(named, asked).join(asked.hint("merge"), "id", "left_semi")
-    sets = staged(per_text(texts, "id", "text", "shingles array<bigint>", lambda: lambda texts: [(shingle_set(t),) for t in texts]), "shingles")
-    of_a, of_b = (sets.select(F.col("id").alias(c), F.col("shingles").alias(f"of_{c}")).hint("merge") for c in "ab")
-    small, large = F.least(F.size("of_a"), F.size("of_b")), F.greatest(F.size("of_a"), F.size("of_b"))
-    both = pairs.join(of_b, "b").join(of_a, "a").where(small / large >= similarity)
-    common = F.size(F.array_intersect("of_a", "of_b"))
-    return both.where(common / (small + large - common) >= similarity).select("a", "b")
+    of_a, of_b = (texts.select(F.col("id").alias(c), F.col("text").alias(f"of_{c}")).hint("merge") for c in "ab")
+    both = pairs.join(of_b, "b").join(of_a, "a").select("a", "b", "of_a", "of_b")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last: list = [("", shingle_set(""))] * 2
+        for part in sliced(batches):
+            like = []
+            for texts in zip(part.column(2).to_pylist(), part.column(3).to_pylist(), strict=True):
+                last = [held if held[0] == text else (text, shingle_set(text)) for held, text in zip(last, texts, strict=True)]
+                small, large = sorted((held[1] for held in last), key=len)
+                common = len(np.intersect1d(small, large, assume_unique=True)) if len(small) and len(small) / len(large) >= similarity else 0
+                like.append(common > 0 and common / (len(small) + len(large) - common) >= similarity)
+            yield part.select(["a", "b"]).filter(pa.array(like, type=pa.bool_()))
+
+    return both.mapInArrow(run, pairs.select("a", "b").schema)
 
 
 def resembling(df: DataFrame, ids: DataFrame, similarity: float, id_col: str = "doc_id", text_col: str = "text", joined: DataFrame | None = None) -> DataFrame:

@@ -57,11 +57,24 @@ def scratch_dir(spark: SparkSession) -> str:
     return f"{shared_dir(spark)}/lectern/{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
 
 
+#: The setting by which Spark removes a query's shuffle files when the query ends.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def staged(df: DataFrame, name: str) -> DataFrame:
-    """df written as Parquet in the shared folder and read again: what several plans use is computed once, and a lost executor costs nothing."""
-    path = f"{scratch_dir(df.sparkSession)}-{name}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    """df written as Parquet in the shared folder and read again: what several plans use is computed once, and a lost executor costs nothing.
+
+    The shuffle files of the write are removed when it ends, as nothing reads them again; otherwise they stay until the
+    driver's garbage collector finds them.
+    """
+    spark, path = df.sparkSession, f"{scratch_dir(df.sparkSession)}-{name}"
+    before = spark.conf.get(CLEANUP)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 _shipped: set[str] = set()

@@ -124,3 +124,27 @@ def test_links_of_texts_that_fingerprints_group(spark, monkeypatch):
     df = spark.createDataFrame(rows, "doc_id long, text string")
     monkeypatch.setattr(simhash, "fingerprints", lambda df, *cols: spark.createDataFrame([(i, simhash.fingerprint(t)) for i, t in rows], "doc_id long, fp long"))
     assert sorted(r.doc_id for r in simhash.keep_one(df, similarity=0.8).collect()) == [1, 4]
+
+
+def test_parity_tells_long_texts_apart(spark):
+    """Pairs of long texts that are far below the threshold are left out before any text is moved; those at it never are."""
+    words = [f"w{k}" for k in range(5000)]
+    like, unlike = words[:4450] + [f"x{k}" for k in range(400)], words[:3800] + [f"y{k}" for k in range(1200)]
+    longer, shorter = words[:4000], words[:3250]
+    texts = {1: words, 2: like, 3: unlike, 4: longer, 5: shorter}
+    df = spark.createDataFrame([(i, " ".join(w)) for i, w in texts.items()], "id long, text string")
+    assert len(resemblance.parity(resemblance.shingle_set(" ".join(longer)))) < len(resemblance.parity(resemblance.shingle_set(" ".join(words))))
+    roots = spark.createDataFrame([], "node long, root long")
+    pairs = {(r.a, r.b) for r in resemblance.unjoined(df, df.select("id"), roots, 0.8).collect()}
+    sets = {i: brute_shingles(" ".join(w)) for i, w in texts.items()}
+    want = {(a, b) for a in sets for b in sets if a < b and len(sets[a] & sets[b]) / len(sets[a] | sets[b]) >= 0.8}
+    assert {(1, 2), (4, 5)} <= want <= pairs and (1, 3) not in pairs
+
+
+def test_whole_sets_decide_at_the_threshold(spark):
+    """8 of 10 shingles are a link, 7 of 10 are none; a text without words, or with an id twice, does no harm."""
+    words = [f"w{k}" for k in range(14)]
+    rows = [(1, " ".join(words)), (2, " ".join(words[:12])), (3, " ".join(words[:-3])), (4, None), (4, ""), (5, "one"), (6, " ".join(words))]
+    df = spark.createDataFrame(rows, "id long, text string")
+    pairs = spark.createDataFrame([(1, 2), (1, 3), (2, 3), (4, 5), (1, 6), (1, 4)], "a long, b long")
+    assert {(r.a, r.b) for r in resemblance._alike(df, pairs, 0.8).collect()} == {(1, 2), (2, 3), (1, 6)}
