@@ -77,11 +77,15 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Bytes of rows that Spark and a Python worker exchange at once; by default 64 MiB, held several times on both sides.
+BATCH_SETTING, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 4 << 20
+
 _shipped: set[str] = set()
 
 
 def ship(spark: SparkSession) -> None:
-    """Sends this package to the executors once, so that their Python workers can import it wherever the driver was started."""
+    """Sends this package to the executors once, so that their Python workers can import it wherever the driver was started, and sets the size of the batches they get."""
+    spark.conf.set(BATCH_SETTING, str(BATCH_BYTES))
     app = spark.sparkContext.applicationId
     if app in _shipped:
         return

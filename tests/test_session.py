@@ -2,6 +2,8 @@
 
 import time
 
+import pyarrow as pa
+
 from lectern import session
 
 
@@ -24,3 +26,13 @@ def test_staged_leaves_no_shuffle_files(spark):
         time.sleep(0.1)
     assert not shuffle_files(spark) - before
     assert out.count() == 1000 and counts.count() == 1000
+
+
+def test_batches_for_python_are_bounded_in_bytes(spark):
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"size": [batch.nbytes]})
+
+    session.ship(spark)
+    found = [r.size for r in spark.range(0, 9000, 1, 1).selectExpr("repeat('x', 5000) AS text").mapInArrow(sizes, "size long").collect()]
+    assert sum(found) > 45_000_000 and max(found) < 2 * session.BATCH_BYTES
