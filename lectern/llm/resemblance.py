@@ -13,11 +13,19 @@ under which few but like texts still meet, and these buckets are treated alike.
 
 The bands can miss pairs, so prefixes follow, which can't. In any one order of all shingles, two sets of n and m shingles
 and resemblance t share one of the first n - ceil(t n) + 1 of one and m - ceil(t m) + 1 of the other. All texts are placed
-under the shingles of these prefixes, and all pairs of a shingle whose texts the links so far haven't joined are compared:
-by size, by parity bits (512 or more, at least as many as shingles; each shingle in one set only changes one bit, so a pair
-with more bits apart than shingles may differ is no link), then over the whole sets. The order puts shingles seen in many texts last, so that few texts meet
-there; it is estimated, and whatever it is, the pairs found are the same. Pairs that are joined already are never made, so
-groups of copies don't grow as their square; texts that share most of a common passage and are no copies do.
+under the shingles of these prefixes, and the pairs of a shingle whose texts the links so far haven't joined are compared
+by size and place: o = t (n + m) / (1 + t) shared shingles are needed, so the first shared one has n - o before it at most
+in one text and m - o in the other. That gives each text under each shingle a reach, the largest set that it can resemble
+by it, and two texts are a pair only if each is within the other's reach. Then parity bits are compared (512 or more, at
+least as many as shingles; each shingle in one set only changes one bit, so a pair with more bits apart than shingles may
+differ is no link), then the whole sets. The order puts shingles seen in many texts last, so that few texts meet there; it
+is estimated, and whatever it is, all links are found.
+
+Lists of more than COMMON texts are first led: each text is compared with the text of the earliest place among those of
+about its size, and what links is joined. Of texts that share a passage and nothing else, those that can link to any can
+link to the one with the least besides, so these give no further pairs. Then only texts within the reach of a text that they
+aren't joined with, which the two largest reaches of different roots for each size tell, meet each other. Texts that are
+in each other's reach, alike to a little less than the threshold and unjoined, still grow as their square.
 """
 
 from __future__ import annotations
@@ -179,8 +187,8 @@ def _repeated(texts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     return shingles, rank
 
 
-def _fitting(similarity: float, a: str, b: str) -> str:
-    return f"{a}.root != {b}.root and {a}.id < {b}.id and least({a}.n, {b}.n) / greatest({a}.n, {b}.n) >= {similarity}D"
+def _fitting(a: str, b: str) -> str:
+    return f"{a}.root != {b}.root and {a}.n <= {b}.reach and {b}.n <= {a}.reach"
 
 
 def _folded(words: Column, length: Column, times: int) -> Column:
@@ -192,8 +200,61 @@ def _folded(words: Column, length: Column, times: int) -> Column:
     return words
 
 
+def _close(pairs: DataFrame, own: DataFrame, similarity: float) -> DataFrame:
+    """The pairs (a, b) whose parity bits, as `own` has them, don't rule a link out."""
+    bits_a, bits_b = (own.select(F.col("id").alias(c), F.col("n").alias(f"n_{c}"), F.col("bits").alias(f"bits_{c}")).hint("merge") for c in "ab")
+    # lengths are powers of two that grow with the sizes, whose ratio is 1 / similarity at most
+    length, times = F.least(F.size("bits_a"), F.size("bits_b")), math.ceil(math.log2(1 / similarity))
+    a, b = (_folded(F.col(f"bits_{c}"), length, times) for c in "ab")
+    apart = F.aggregate(F.zip_with(a, b, lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
+    most = (F.col("n_a") + F.col("n_b")) * F.lit((1 - similarity) / (1 + similarity)) + 1e-6
+    return pairs.join(bits_b, "b").join(bits_a, "a").where(apart <= most).select(*pairs.columns)
+
+
+def _listed(own: DataFrame, similarity: float) -> DataFrame:
+    """(shingle, id, root, n, pos, reach, few) for each text under each shingle of its prefix that other texts have there too; few: in a list up to COMMON."""
+    # most shingles stand in one text: those are left out before anything is joined or gathered
+    alone = own.select(F.posexplode("rare").alias("pos", "shingle"), "id").withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy("shingle")))
+    again = staged(alone.where("_n > 1").select("shingle", "id", "pos", (F.col("_n") <= COMMON).alias("few")), "again").join(own.select("id", "root", "n").hint("merge"), "id")
+    common = own.select(F.posexplode("common").alias("_at", "shingle"), "id", "root", "n", F.size("rare").alias("_rare"))
+    common = common.select("shingle", "id", "root", "n", (F.col("_rare") + F.col("_at")).alias("pos"), F.lit(False).alias("few"))
+    reach = (F.col("n") - F.col("pos")) * F.lit((1 + similarity) / similarity) - F.col("n") + 1e-6
+    return staged(common.unionByName(again).withColumn("reach", reach), "listed")
+
+
+def _led(crowd: DataFrame, similarity: float) -> DataFrame:
+    """(a, b, x, y): texts of long lists beside the text of the earliest place of about their size in the list, and the roots of both."""
+    sized = crowd.withColumn("size", F.floor(F.log("n") / F.lit(-math.log(similarity))).cast("int"))
+    first = sized.groupBy("shingle", "size").agg(F.min(F.struct("pos", "n", "id", "root", "reach")).alias("y"))
+    first = first.select("shingle", F.explode(F.array(*(F.col("size") + k for k in (-1, 0, 1)))).alias("size"), "y.*").alias("y")
+    met = sized.alias("x").join(first.hint("merge"), F.expr(f"x.shingle = y.shingle and x.size = y.size and {_fitting('x', 'y')}"))
+    return met.select(F.expr("least(x.id, y.id) as a"), F.expr("greatest(x.id, y.id) as b"), F.expr("if(x.id < y.id, x.root, y.root) as x"), F.expr("if(x.id < y.id, y.root, x.root) as y")).distinct()
+
+
+def _in_parts(lists: DataFrame) -> DataFrame:
+    """The lists that have several roots, with the number of their parts."""
+    sizes = lists.groupBy("shingle").agg(F.count(F.lit(1)).alias("_n"), F.min("root").alias("_x"), F.max("root").alias("_y")).where("_x != _y")
+    return lists.join(sizes.select("shingle", F.ceil(F.col("_n") / PART).cast("int").alias("parts")).hint("merge"), "shingle")
+
+
+def _crossed(crowd: DataFrame) -> DataFrame:
+    """(a, b): pairs of long lists. These have texts without number, so they are dealt into parts; texts without a partner are left out first."""
+    part, every = F.pmod(F.xxhash64("id"), F.col("parts")).cast("int"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
+    many = _in_parts(crowd)
+    best = many.groupBy("shingle", "parts", "n", "root").agg(F.max("reach").alias("reach"))
+    best = best.withColumn("_k", F.row_number().over(Window.partitionBy("shingle", "n").orderBy(F.desc("reach"), "root"))).where("_k <= 2").withColumn("part", every)
+    fit = many.withColumn("part", part).alias("x").hint("merge").join(best.alias("y"), F.expr(f"x.shingle = y.shingle and x.part = y.part and {_fitting('x', 'y')}"), "left_semi")
+    many = _in_parts(staged(fit.select("shingle", "id", "root", "n", "reach"), "fitting"))
+    one, other = many.withColumn("part", part).alias("x"), many.withColumn("part", every).alias("y")
+    met = one.hint("merge").join(other, F.expr(f"x.shingle = y.shingle and x.part = y.part and x.id < y.id and {_fitting('x', 'y')}"))
+    return met.select(F.col("x.id").alias("a"), F.col("y.id").alias("b"))
+
+
 def unjoined(named: DataFrame, classes: DataFrame, roots: DataFrame, similarity: float) -> DataFrame:
-    """Pairs (a, b), a < b, of `classes` (one column `id`) that may resemble each other and have different roots, each once; none is missing."""
+    """Pairs (a, b), a < b, of `classes` (one column `id`) that may resemble each other and have different roots, each once.
+
+    Every link is among them, or its ends are joined by the roots and the pairs that are links.
+    """
     common, rank = _repeated(named)
 
     def of(texts: list) -> list[tuple]:
@@ -204,26 +265,16 @@ def unjoined(named: DataFrame, classes: DataFrame, roots: DataFrame, similarity:
     own = found.join(classes.hint("merge"), "id", "left_semi").join(roots.select(F.col("node").alias("id"), "root").hint("merge"), "id", "left")
     own = own.withColumn("root", F.coalesce("root", "id")).groupBy("id").agg(F.min(F.struct("root", "n", "rare", "common", "bits")).alias("s"))
     own = staged(own.select("id", "s.*"), "prefixes")
-    # most shingles stand in one text: those are left out before anything is joined or gathered
-    alone = own.select(F.explode("rare").alias("shingle"), "id").withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy("shingle")))
-    again = staged(alone.where("_n > 1").select("shingle", "id"), "again").join(own.select("id", "root", "n").hint("merge"), "id")
-    under = again.groupBy("shingle").agg(F.collect_list(F.struct("root", "id", "n")).alias("ts")).where("array_min(ts).root != array_max(ts).root")
-    near = under.select(F.explode(F.expr(f"flatten(transform(ts, a -> transform(filter(ts, b -> {_fitting(similarity, 'a', 'b')}), b -> struct(a.id as a, b.id as b))))")).alias("p")).select("p.a", "p.b")
-    # common shingles have texts without number, so these are dealt into parts, and each part meets all
-    placed = own.select(F.explode("common").alias("shingle"), "root", "id", "n")
-    sizes = placed.groupBy("shingle").agg(F.count(F.lit(1)).alias("_n"), F.min("root").alias("_x"), F.max("root").alias("_y")).where("_x != _y")
-    many = placed.join(sizes.select("shingle", F.ceil(F.col("_n") / PART).cast("int").alias("parts")).hint("merge"), "shingle")
-    one = many.withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int")).alias("x")
-    other = many.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).alias("y")
-    met = one.hint("merge").join(other, F.expr(f"x.shingle = y.shingle and x.part = y.part and {_fitting(similarity, 'x', 'y')}"))
-    pairs = near.unionByName(met.select(F.col("x.id").alias("a"), F.col("y.id").alias("b"))).distinct()
-    bits_a, bits_b = (own.select(F.col("id").alias(c), F.col("n").alias(f"n_{c}"), F.col("bits").alias(f"bits_{c}")).hint("merge") for c in "ab")
-    # lengths are powers of two that grow with the sizes, whose ratio is 1 / similarity at most
-    length, times = F.least(F.size("bits_a"), F.size("bits_b")), math.ceil(math.log2(1 / similarity))
-    a, b = (_folded(F.col(f"bits_{c}"), length, times) for c in "ab")
-    apart = F.aggregate(F.zip_with(a, b, lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
-    most = (F.col("n_a") + F.col("n_b")) * F.lit((1 - similarity) / (1 + similarity)) + 1e-6
-    return staged(pairs.join(bits_b, "b").join(bits_a, "a").where(apart <= most).select("a", "b"), "unjoined")
+    listed = _listed(own, similarity)
+    led = staged(_close(_led(listed.where("not few"), similarity), own, similarity), "led_pairs")
+    links = staged(_alike(named, led.select("a", "b"), similarity), "led_links")
+    moved = components(led.join(links.hint("merge"), ["a", "b"]).select(F.col("x").alias("a"), F.col("y").alias("b")))
+    # by root, of which one can have most rows: Spark broadcasts the few that moved, or splits the large ones
+    listed = listed.join(moved.select(F.col("node").alias("root"), F.col("root").alias("_to")), "root", "left").withColumn("root", F.coalesce("_to", "root")).drop("_to")
+    under = listed.where("few").groupBy("shingle").agg(F.collect_list(F.struct("root", "id", "n", "reach")).alias("ts")).where("array_min(ts).root != array_max(ts).root")
+    near = under.select(F.explode(F.expr(f"flatten(transform(ts, a -> transform(filter(ts, b -> a.id < b.id and {_fitting('a', 'b')}), b -> struct(a.id as a, b.id as b))))")).alias("p")).select("p.a", "p.b")
+    pairs = near.unionByName(_crossed(listed.where("not few"))).distinct()
+    return staged(links.unionByName(_close(pairs, own, similarity)), "unjoined")
 
 
 def _likely(named: DataFrame, asked: DataFrame) -> DataFrame:

@@ -148,3 +148,36 @@ def test_whole_sets_decide_at_the_threshold(spark):
     df = spark.createDataFrame(rows, "id long, text string")
     pairs = spark.createDataFrame([(1, 2), (1, 3), (2, 3), (4, 5), (1, 6), (1, 4)], "a long, b long")
     assert {(r.a, r.b) for r in resemblance._alike(df, pairs, 0.8).collect()} == {(1, 2), (2, 3), (1, 6)}
+
+
+def joined_rows(spark, action):
+    """The most rows that a join made in what action() runs."""
+    store, done = spark._jsparkSession.sharedState().statusStore(), set()
+    each = lambda seq: (seq.apply(k) for k in range(seq.size()))
+    done = {e.executionId() for e in each(store.executionsList())}
+    action()
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+    most = 0
+    for execution in [e.executionId() for e in each(store.executionsList()) if e.executionId() not in done]:
+        values = store.executionMetrics(execution)
+        for node in each(store.planGraph(execution).allNodes()):
+            for metric in each(node.metrics()) if "Join" in node.name() else ():
+                if metric.name() == "number of output rows" and (v := values.get(metric.accumulatorId())).isDefined():
+                    most = max(most, int(v.get().replace(",", "")))
+    return most
+
+
+def test_pairs_of_a_common_passage_and_of_much_edited_copies_are_not_made(spark):
+    """Texts that share a passage beside 14 to 18 own words, and copies of a text with up to 8 edits: a little below the threshold, or joined by others."""
+    rnd, texts = random.Random(11), {}
+    passage, other, base = ([f"{c}{k}" for k in range(n)] for c, n in (("p", 100), ("o", 100), ("b", 150)))
+    for k in range(300):
+        texts[len(texts)] = " ".join(passage + [f"q{k}x{j}" for j in range(14 + k % 5)])
+        texts[len(texts)] = edited(base, rnd, k % 9)
+    for k in range(100):
+        texts[len(texts)] = " ".join(other + [f"r{k}x{j}" for j in range(14 + k % 5 if k != 70 else 7)])
+    want, got = brute_roots(texts), []
+    assert 400 < len(set(want.values())) < 500
+    # a row for each text, band and shingle of a prefix, or less; 300 * 300 / 2 pairs of either kind would be 45,000
+    assert joined_rows(spark, lambda: got.append(found_roots(spark, texts))) < 32 * len(texts) < 22_500
+    assert got == [want]
