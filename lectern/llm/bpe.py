@@ -23,9 +23,9 @@ from lectern.llm.common import per_text
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 #: Words kept with their ids in each Python worker (as many again from before the last renewal), and the longest of
 #: them; others are encoded each time.
-CACHED_WORDS, CACHED_LENGTH = 400_000, 48
+CACHED_WORDS, CACHED_LENGTH = 200_000, 48
 #: Compatible pairs kept in each worker before the table starts anew.
-CACHED_PAIRS = 1_000_000
+CACHED_PAIRS = 250_000
 #: Largest vocabulary that is sent to the executors.
 MAX_VOCABULARY = 1_000_000
 
